@@ -1,0 +1 @@
+"""Empty on purpose: every job here is a full batch reload, there is no incremental load to stream."""
