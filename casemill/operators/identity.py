@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lookup_key, only_digits, strip, trim_lower
-from .lookups import fill_if_null, last_wins, look_up, replace_if_found, _put
+from .lookups import RuleTable, _put, fill_if_null, last_wins, look_up, replace_if_found
 from .shape import concat
 
 
@@ -114,14 +114,19 @@ def fill_names_from_directory(
 class OverrideRules:
     """The six sections, each with unique keys; ``None`` for an empty section."""
 
-    special_values: DataFrame | None = None  # match, username_ufinal
-    by_case: DataFrame | None = None  # numero_caso, username_ufinal
-    by_case_and_origin: DataFrame | None = None  # numero_caso, origen_caso, username_ufinal
-    aliases: DataFrame | None = None  # from, to
-    owner_names: DataFrame | None = None  # username, nombre (rules that apply to the owner)
-    user_names: DataFrame | None = None  # username, nombre (rules that apply to the end user)
-    by_owner: DataFrame | None = None  # match, responsable_canonico, username_resp
-    by_user: DataFrame | None = None  # match, usuariofinal_canonico, username_ufinal
+    special_values: RuleTable | None = None  # match -> username_ufinal
+    by_case: RuleTable | None = None  # numero_caso -> username_ufinal
+    by_case_and_origin: RuleTable | None = None  # case_key(...) -> username_ufinal
+    aliases: RuleTable | None = None  # from -> to
+    owner_names: RuleTable | None = None  # username -> nombre, rules that apply to the owner
+    user_names: RuleTable | None = None  # username -> nombre, rules that apply to the end user
+    by_owner: RuleTable | None = None  # match -> responsable_canonico, username_resp
+    by_user: RuleTable | None = None  # match -> usuariofinal_canonico, username_ufinal
+
+
+def case_key(number: object, origin: object) -> str:
+    """The key of a rule for one case of one source."""
+    return f"{number}|{origin}"
 
 
 def apply_overrides(df: DataFrame, rules: OverrideRules) -> DataFrame:
@@ -138,12 +143,9 @@ def apply_overrides(df: DataFrame, rules: OverrideRules) -> DataFrame:
             "username_ufinal",
         )
     if rules.by_case_and_origin is not None and has("numero_caso") and has("origen_caso"):
-        keyed = rules.by_case_and_origin.withColumn(
-            "key", F.concat_ws("\x00", "numero_caso", "origen_caso")
-        )
+        key = F.concat(F.col("numero_caso").cast("string"), F.lit("|"), "origen_caso")
         df = replace_if_found(
-            df, keyed, F.concat_ws("\x00", F.col("numero_caso").cast("string"), "origen_caso"),
-            "key", "username_ufinal", "username_ufinal",
+            df, rules.by_case_and_origin, key, "key", "username_ufinal", "username_ufinal"
         )
     if rules.aliases is not None:
         for column in ("username_ufinal", "username_resp"):
@@ -165,7 +167,7 @@ def apply_overrides(df: DataFrame, rules: OverrideRules) -> DataFrame:
 
 
 def _match_section(
-    df: DataFrame, section: DataFrame, target: str, canonical: str, username: str
+    df: DataFrame, section: RuleTable, target: str, canonical: str, username: str
 ) -> DataFrame:
     take = {"_canonical": canonical, "_username": username}
     out = look_up(df, section, trim_lower(F.col(target)), "match", take)

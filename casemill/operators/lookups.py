@@ -1,21 +1,56 @@
 """Lookup joins: many facts, one lookup row per key.
 
-Lookups are reduced to one row per key and then joined from the left without a hint: Spark
-broadcasts them while their size is under ``spark.sql.autoBroadcastJoinThreshold`` (rule
-tables always are) and falls back to a sort-merge join, with hot keys split at run time,
-beyond it.
+Lookup tables are reduced to one row per key and then joined from the left without a hint:
+Spark broadcasts them while their size is under ``spark.sql.autoBroadcastJoinThreshold`` and
+falls back to a sort-merge join, with hot keys split at run time, beyond it. Hand-kept rules
+are few enough to stand in the expression itself, which keeps a dozen joins out of the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_text, trim_lower
 
 
+# up to here a rule table is a literal map (scanned per row), beyond it a broadcast join
+INLINE_RULES = 128
+
+
+@dataclass(frozen=True)
+class RuleTable:
+    """A small lookup whose rows the driver holds: unique keys, one or more text values."""
+
+    key: str
+    values: tuple[str, ...]
+    rows: Mapping[object, tuple[str, ...]]
+
+    def value(self, key: Column, column: str) -> Column:
+        """The value for a key, NULL without a hit."""
+        if not self.rows:
+            return F.lit(None).cast("string")
+        at = self.values.index(column)
+        pairs = []
+        for k, row in self.rows.items():
+            pairs += [F.lit(k).cast("bigint") if isinstance(k, int) else F.lit(k), F.lit(row[at])]
+        return F.try_element_at(F.create_map(*pairs), key)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The rules as local rows of a size Spark knows."""
+        columns = {self.key: list(self.rows)}
+        for at, name in enumerate(self.values):
+            columns[name] = [row[at] for row in self.rows.values()]
+        return spark.createDataFrame(pa.table(columns))
+
+
+Lookup = DataFrame | RuleTable
+
+
 def last_wins(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """One row per key, the last in ``order``; NULL and blank keys are dropped.
 
@@ -40,18 +75,22 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 def look_up(
     facts: DataFrame,
-    lookup: DataFrame,
+    lookup: Lookup,
     key: Column,
     lookup_on: str,
     take: Mapping[str, str],
     spread_by: Sequence[str] = ("numero_caso",),
 ) -> DataFrame:
-    """Left join facts to a lookup with unique keys.
+    """Values of a lookup with unique keys as new columns, NULL without a hit.
 
     ``take`` maps new column names to lookup columns. Facts without a key can never match;
     they get a key of their own kind (0x00 never starts a lookup key) spread over many
     partitions by ``spread_by``, or a shuffle join would send them all to one task.
     """
+    if isinstance(lookup, RuleTable):
+        if len(lookup.rows) <= INLINE_RULES:
+            return facts.withColumns({n: lookup.value(key, c) for n, c in take.items()})
+        lookup = lookup.frame(facts.sparkSession)
     right = lookup.select(
         F.col(lookup_on).alias("_lookup_key"), *[F.col(c).alias(n) for n, c in take.items()]
     )
@@ -65,7 +104,7 @@ def look_up(
 
 
 def overwrite(
-    facts: DataFrame, lookup: DataFrame, key: Column, lookup_on: str, value: str, target: str
+    facts: DataFrame, lookup: Lookup, key: Column, lookup_on: str, value: str, target: str
 ) -> DataFrame:
     """The lookup value, also where there is none (NULL)."""
     out = look_up(facts, lookup, key, lookup_on, {"_hit": value})
@@ -74,7 +113,7 @@ def overwrite(
 
 def replace_if_found(
     facts: DataFrame,
-    lookup: DataFrame,
+    lookup: Lookup,
     key: Column,
     lookup_on: str,
     value: str,
@@ -91,7 +130,7 @@ def replace_if_found(
 
 
 def fill_if_null(
-    facts: DataFrame, lookup: DataFrame, key: Column, lookup_on: str, value: str, target: str
+    facts: DataFrame, lookup: Lookup, key: Column, lookup_on: str, value: str, target: str
 ) -> DataFrame:
     """The lookup value only where the target is NULL; rows with a value skip the lookup."""
     if target not in facts.columns:
@@ -103,7 +142,7 @@ def fill_if_null(
 
 def remap_by_rules(
     facts: DataFrame,
-    rules: DataFrame,
+    rules: Lookup,
     column: str = "servicio",
     target: str | None = None,
     rule_key: str = "from",

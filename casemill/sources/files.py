@@ -55,9 +55,8 @@ def distinct_names(names: Sequence[str]) -> list[str]:
 
 def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """The column names of the file, made distinct. Reads one row."""
-    options = {"sep": sep, "header": False, "multiLine": False, "quote": "\u0000"}
-    first = spark.read.options(**options).text(path).first()
-    line = first.value.lstrip("﻿") if first else ""
+    first = spark.read.text(path).first()
+    line = first.value.lstrip("\ufeff") if first else ""
     return distinct_names(next(csv.reader([line], delimiter=sep), []))
 
 

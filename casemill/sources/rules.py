@@ -1,34 +1,23 @@
 """Rule tables: the service catalogue, project rules and identity overrides.
 
-Rules are small hand-kept configuration. They are checked, reduced to one row per key (the
-last entry wins) and kept as local rows, so that every join to them is a broadcast of known
-size.
+Rules are small hand-kept configuration. They are checked and reduced to one row per key; the
+last entry wins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from ..operators.identity import OverrideRules
+from ..operators.identity import OverrideRules, case_key
+from ..operators.lookups import RuleTable
 from ..operators.quality import RuleError
 
 # More entries than this are no hand-kept rules; keep them as a dictionary table instead.
 MAX_RULES = 20_000
 TARGETS = ("responsable", "usuariofinal")
-_ARROW = {"string": pa.string(), "bigint": pa.int64()}
-
-
-def local_table(
-    spark: SparkSession, rows: Sequence[Mapping], columns: Mapping[str, str]
-) -> DataFrame:
-    """A small table held in the plan, with a size Spark knows."""
-    schema = pa.schema([(name, _ARROW[kind]) for name, kind in columns.items()])
-    table = pa.Table.from_pylist([{c: r.get(c) for c in columns} for r in rows], schema)
-    return spark.createDataFrame(table)
 
 
 def read_rule_entries(spark: SparkSession, path: str, fmt: str = "json") -> list[dict]:
@@ -55,24 +44,20 @@ def _need(entries: Iterable[Mapping], section: str, *fields: str) -> list[dict]:
     return checked
 
 
-def _last(entries: Iterable[Mapping], *key: str) -> list[dict]:
-    """One entry per key, the last one."""
-    return list({tuple(e.get(k) for k in key): e for e in entries}.values())
+def _table(entries: Iterable[Mapping], key: str, *values: str) -> RuleTable:
+    """One row per key, the last one."""
+    return RuleTable(key, values, {e[key]: tuple(str(e[v]) for v in values) for e in entries})
 
 
-def replacement_rules(spark: SparkSession, entries: Iterable[Mapping], section: str = "rules") -> DataFrame:
-    """(from, to)."""
-    entries = [
-        {"from": str(e["from"]), "to": str(e["to"])} for e in _need(entries, section, "from", "to")
-    ]
-    return local_table(spark, _last(entries, "from"), {"from": "string", "to": "string"})
+def replacement_rules(entries: Iterable[Mapping], section: str = "rules") -> RuleTable:
+    """From -> to."""
+    return _table(_need(entries, section, "from", "to"), "from", "to")
 
 
-def project_rules(spark: SparkSession, entries: Iterable[Mapping]) -> DataFrame:
-    """(match_servicio, proyecto)."""
+def project_rules(entries: Iterable[Mapping]) -> RuleTable:
+    """match_servicio -> proyecto."""
     entries = _need(entries, "project rules", "match_servicio", "proyecto")
-    columns = {"match_servicio": "string", "proyecto": "string"}
-    return local_table(spark, _last(entries, "match_servicio"), columns)
+    return _table(entries, "match_servicio", "proyecto")
 
 
 def pending_entries(entries: Iterable[Mapping]) -> list[str]:
@@ -80,27 +65,28 @@ def pending_entries(entries: Iterable[Mapping]) -> list[str]:
     return [str(e["match"]) for e in entries if e.get("validacion_pendiente")]
 
 
-def override_rules(spark: SparkSession, sections: Mapping[str, Iterable[Mapping]]) -> OverrideRules:
+def override_rules(sections: Mapping[str, Iterable[Mapping]]) -> OverrideRules:
     """The six sections under the names they have in the rule file.
 
     Keys of the two match sections are trimmed and lowercased. A rule by case number may name
     an ``origen_caso``; without one it holds for all sources.
     """
 
-    def table(rows, key, columns):
-        rows = _last(rows, *key)
-        return local_table(spark, rows, columns) if rows else None
-
     def entries(name, *fields):
         return _need(sections.get(name) or [], name, *fields)
 
-    cases = []
-    for i, e in enumerate(entries("por_numero_caso", "numero_caso", "username_ufinal")):
+    def table(rows, key, *values):
+        return _table(rows, key, *values) if rows else None
+
+    cases = entries("por_numero_caso", "numero_caso", "username_ufinal")
+    for i, e in enumerate(cases):
         try:
             e["numero_caso"] = int(e["numero_caso"])
         except (TypeError, ValueError) as error:
             raise RuleError(f"por_numero_caso[{i}]: {error}") from error
-        cases.append(e)
+    of_one_source = [e for e in cases if e.get("origen_caso") is not None]
+    for e in of_one_source:
+        e["key"] = case_key(e["numero_caso"], e["origen_caso"])
 
     names = entries("nombres_por_username", "username", "nombre", "aplica_a")
     for i, e in enumerate(names):
@@ -110,33 +96,23 @@ def override_rules(spark: SparkSession, sections: Mapping[str, Iterable[Mapping]
         if unknown:
             raise RuleError(f"nombres_por_username[{i}]: unknown targets {unknown}")
 
+    def named(target):
+        return table([e for e in names if target in e["aplica_a"]], "username", "nombre")
+
     def matched(name, canonical, username):
         rows = entries(name, "match", canonical, username)
         for e in rows:
             e["match"] = str(e["match"]).strip().lower()
-        return table(
-            rows, ("match",), {"match": "string", canonical: "string", username: "string"}
-        )
-
-    def named(target):
-        rows = [e for e in names if target in e["aplica_a"]]
-        return table(rows, ("username",), {"username": "string", "nombre": "string"})
+        return table(rows, "match", canonical, username)
 
-    case_columns = {"numero_caso": "bigint", "username_ufinal": "string"}
+    special = entries("patrones_especiales", "match", "username_ufinal")
     return OverrideRules(
-        special_values=table(
-            entries("patrones_especiales", "match", "username_ufinal"), ("match",),
-            {"match": "string", "username_ufinal": "string"},
-        ),
-        by_case=table([e for e in cases if e.get("origen_caso") is None], ("numero_caso",), case_columns),
-        by_case_and_origin=table(
-            [e for e in cases if e.get("origen_caso") is not None],
-            ("numero_caso", "origen_caso"),
-            {**case_columns, "origen_caso": "string"},
-        ),
-        aliases=table(
-            entries("por_username_alias", "from", "to"), ("from",), {"from": "string", "to": "string"}
+        special_values=table(special, "match", "username_ufinal"),
+        by_case=table(
+            [e for e in cases if e.get("origen_caso") is None], "numero_caso", "username_ufinal"
         ),
+        by_case_and_origin=table(of_one_source, "key", "username_ufinal"),
+        aliases=table(entries("por_username_alias", "from", "to"), "from", "to"),
         owner_names=named("responsable"),
         user_names=named("usuariofinal"),
         by_owner=matched("por_responsable", "responsable_canonico", "username_resp"),
@@ -148,19 +124,18 @@ def override_rules(spark: SparkSession, sections: Mapping[str, Iterable[Mapping]
 class ServiceCatalogue:
     """The general catalogue, the suite's own, and the project rules."""
 
-    general: DataFrame
-    suite: DataFrame
-    projects: DataFrame
+    general: RuleTable
+    suite: RuleTable
+    projects: RuleTable
 
 
 def service_catalogue(
-    spark: SparkSession,
     general: Iterable[Mapping] = (),
     suite: Iterable[Mapping] = (),
     projects: Iterable[Mapping] = (),
 ) -> ServiceCatalogue:
     return ServiceCatalogue(
-        general=replacement_rules(spark, general, "general catalogue"),
-        suite=replacement_rules(spark, suite, "suite catalogue"),
-        projects=project_rules(spark, projects),
+        general=replacement_rules(general, "general catalogue"),
+        suite=replacement_rules(suite, "suite catalogue"),
+        projects=project_rules(projects),
     )
