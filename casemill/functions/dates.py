@@ -2,49 +2,31 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The export formats in the order they are tried; the first hit wins.
+# The export formats in the order they are tried; the first hit wins. Those that
+# cannot be mistaken for each other share a pattern as optional parts, which saves attempts.
 DATE_FORMATS = (
-    "M/d/yyyy h:m:s a",
-    "M/d/yyyy H:m:s",
-    "yyyy-M-d H:m:s",
+    "[M/d/yyyy h:m:s a][M/d/yyyy H:m:s][yyyy-M-d H:m:s]",
     "d/M/yyyy H:m:s",
 )
+# what every value these formats take looks like
+DATE_SHAPE = r"^\d{1,4}[/-]\d{1,2}[/-]\d{1,4} \d{1,2}:\d{1,2}:\d{1,2}( [AaPp][Mm])?$"
 
 
-def _shape(fmt: str) -> str:
-    """A regular expression for the outline of a date format."""
-    out, i = "^", 0
-    while i < len(fmt):
-        run = len(re.match(re.escape(fmt[i]) + "+", fmt[i:])[0])
-        letter = fmt[i]
-        if letter == "a":
-            out += "[AaPp][Mm]"
-        elif letter == "S":
-            out += rf"\d{{{run}}}"
-        elif letter.isalpha():
-            out += rf"\d{{{run}}}" if run > 2 else r"\d{1,2}" if run == 1 else r"\d{2}"
-        else:
-            out += re.escape(fmt[i : i + run])
-        i += run
-    return out + "$"
-
-
-def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def parse_date(
+    c: Column, formats: Sequence[str] = DATE_FORMATS, shape: str = DATE_SHAPE
+) -> Column:
     """First format that parses, else NULL, as TIMESTAMP_NTZ.
 
-    The outline check keeps rows away from formats that cannot match; without it every miss
-    would pay for a parser exception.
+    The shape check keeps rows away from formats that cannot match; without it every bad value
+    would pay for a parser exception per format.
     """
-    tries = [
-        F.when(F.rlike(c, F.lit(_shape(f))), F.try_to_timestamp(c, F.lit(f))) for f in formats
-    ]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    tries = [F.try_to_timestamp(c, F.lit(f)) for f in formats]
+    return F.when(F.rlike(c, F.lit(shape)), F.coalesce(*tries)).cast("timestamp_ntz")
 
 
 def is_unparsed(raw: Column, parsed: Column) -> Column:

@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import SPACE, strip
 
 # Minutes booked for every case of the source without usable times.
 FIXED_MINUTES = 300
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_NUMBER = rf"^{SPACE}*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{SPACE}*$"
+_WHOLE = rf"^{SPACE}*([+-]?\d{{1,19}})(?:\.0*)?{SPACE}*$"
 
 
 def to_number(c: Column) -> Column:
     """Text to DOUBLE, NULL when it is not a plain number."""
-    text = strip(c.cast("string"))
-    return F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
+    return F.when(F.rlike(c, F.lit(_NUMBER)), strip(c).try_cast("double"))
 
 
 def to_integer(c: Column) -> Column:
-    """Text to BIGINT; bad or fractional text is NULL. Long integers stay exact."""
-    text = strip(c.cast("string"))
+    """Text to BIGINT; bad or fractional text is NULL. Long integers stay exact.
+
+    Nearly all values are plain digits, which one pattern settles; the rest goes the long way.
+    """
+    digits = F.nullif(F.regexp_extract(c, _WHOLE, 1), F.lit("")).try_cast("bigint")
     number = to_number(c)
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), whole)
+    return F.coalesce(digits, F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def whole_minutes(c: Column) -> Column:

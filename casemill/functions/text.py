@@ -23,19 +23,15 @@ SPELLED_OUT = {
 
 def _accent_table() -> tuple[str, str, dict[str, str]]:
     """Characters to map one to one, their targets, and those with longer targets."""
-    single: dict[str, str] = {}
-    longer: dict[str, str] = {}
-    latin = [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2010)]
-    for char in map(chr, latin):
-        plain = "".join(
-            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
-        )
-        target = SPELLED_OUT.get(char, plain)
-        if target != char and target.isascii():
-            (single if len(target) == 1 else longer)[char] = target
-    for char, target in SPELLED_OUT.items():
-        (single if len(target) == 1 else longer)[char] = target
-    return "".join(single), "".join(single.values()), {k: v for k, v in longer.items() if v}
+    table = dict(SPELLED_OUT)
+    for char in map(chr, [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2010)]):
+        decomposed = unicodedata.normalize("NFKD", char)
+        plain = "".join(c for c in decomposed if not unicodedata.combining(c))
+        if len(plain) == 1 and plain != char and plain.isascii():
+            table.setdefault(char, plain)
+    single = {k: v for k, v in table.items() if len(v) == 1}
+    longer = {k: v for k, v in table.items() if len(v) > 1}
+    return "".join(single), "".join(single.values()), longer
 
 
 _FROM, _TO, _LONGER = _accent_table()
@@ -46,10 +42,16 @@ _MARKS = "".join(map(chr, range(0x0300, 0x0370)))
 def strip_accents(c: Column) -> Column:
     """Latin text without accents. Pure ASCII values skip the table."""
     plain = F.translate(c, _FROM + _MARKS, _TO)
-    for char, target in _LONGER.items():
-        if char in SPELLED_OUT:
-            plain = F.replace(plain, F.lit(char), F.lit(target))
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(plain)
+    letters = "".join(_LONGER)
+    pairs = F.str_to_map(
+        F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in _LONGER.items())), F.lit("\x1e"), F.lit("\x1f")
+    )
+    spelled = F.aggregate(F.map_entries(pairs), plain, lambda t, e: F.replace(t, e.key, e.value))
+    return (
+        F.when(F.octet_length(c) == F.char_length(c), c)
+        .when(F.rlike(c, F.lit(f"[{letters}]")), spelled)
+        .otherwise(plain)
+    )
 
 
 def strip(c: Column) -> Column:
@@ -109,27 +111,29 @@ def remove_literal(c: Column, *pieces: str) -> Column:
     return c
 
 
+# white space in patterns; the Unicode switch of the regular expressions is far slower
+SPACE = r"[\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+WORD = SPACE.replace("[", "[^")
+_TWO_WORDS = f"{WORD}+{SPACE}+{WORD}+"
+
+# six words | three and more | two: the part before and the part after the turn
+_TURN = (
+    f"^{SPACE}*(?:({_TWO_WORDS}{SPACE}+{_TWO_WORDS}){SPACE}+({_TWO_WORDS})"
+    f"|({_TWO_WORDS}){SPACE}+({WORD}(?s:.*?))|({WORD}+){SPACE}+({WORD}+)){SPACE}*$"
+)
+
+
 def reorder_name(c: Column, keep_as_is: Iterable[str] = ()) -> Column:
     """Family names first -> given names first, by the number of words.
 
-    ``keep_as_is`` lists names (lower case) of three to five words that are already right.
+    Six words: the last two come first; three and more: the first two go last; two are
+    swapped. Blanks between words become single ones. ``keep_as_is`` lists names (lower case)
+    that are already right; it does not hold for names of two or six words.
     """
-    words = F.split(F.regexp_replace(strip(c), r"(?U)\s+", " "), " ")
-    n = F.size(words)
-    kept = list(keep_as_is)
-    is_kept = F.lower(c).isin(kept) if kept else F.lit(False)
-
-    def rotated(k: int) -> Column:
-        tail = F.slice(words, k + 1, F.greatest(n - k, F.lit(0)))
-        return F.array_join(F.concat(tail, F.slice(words, 1, k)), " ")
-
-    return (
-        F.when(c.isNull(), None)
-        .when(n == 6, rotated(4))
-        .when((n > 2) & ~is_kept, rotated(2))
-        .when(n == 2, rotated(1))
-        .otherwise(c)
-    )
+    kept = [name for name in keep_as_is if len(name.split()) not in (2, 6)]
+    turned = F.regexp_replace(F.regexp_replace(c, _TURN, "$2$4$6 $1$3$5"), f"{SPACE}+", " ")
+    several = F.rlike(c, F.lit(f"{WORD}{SPACE}+{WORD}"))
+    return F.when(several & ~F.lower(c).isin(kept) if kept else several, turned).otherwise(c)
 
 
 def contains_text(c: Column, piece: str) -> Column:

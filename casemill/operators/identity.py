@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lookup_key, only_digits, strip, trim_lower
-from .lookups import RuleTable, _put, fill_if_null, last_wins, look_up, replace_if_found
+from .lookups import RuleTable, fill_if_null, last_wins, look_up, set_columns
 from .shape import concat
 
 
@@ -68,25 +68,24 @@ def resolve_ids(
     ``master``, ``directory`` or ``unresolved`` for candidates, for the counts of A5.
     """
     id_text = F.when(only_digits(F.col(column)), strip(F.col(column)))
-    out = df.withColumn("_id", id_text)
-    out = look_up(
-        out, index.by_id, F.col("_id"), "cedula",
-        {"_master_user": "username", "_master_name": "nombre"},
+    out, (user, name), helpers = look_up(
+        df.withColumn("_id", id_text), index.by_id, F.col("_id"), "cedula", ["username", "nombre"]
     )
-    found = [F.col("_master_user")]
+    found = [user]
     if directory is not None:
-        left = F.when(F.col("_master_user").isNull(), F.col("_id"))
-        out = look_up(out, directory, left, "employee_id", {"_directory_user": "account"})
-        found.append(F.col("_directory_user"))
+        left = F.when(user.isNull(), F.col("_id"))
+        out, (account,), more = look_up(out, directory, left, "employee_id", ["account"])
+        found.append(account)
+        helpers += more
     values = {column: F.coalesce(*found, F.col(column))}
     if name_column in df.columns:
-        values[name_column] = F.coalesce("_master_name", name_column)
+        values[name_column] = F.coalesce(name, name_column)
     if outcome:
-        state = F.when(F.col("_id").isNull(), None).when(found[0].isNotNull(), "master")
-        if len(found) > 1:
-            state = state.when(found[1].isNotNull(), "directory")
+        state = F.when(F.col("_id").isNull(), None).when(user.isNotNull(), "master")
+        if directory is not None:
+            state = state.when(account.isNotNull(), "directory")
         values[outcome] = state.otherwise("unresolved")
-    return _put(out, df, values)
+    return set_columns(out, values, ["_id", *helpers])
 
 
 def fill_display_names(
@@ -130,48 +129,60 @@ def case_key(number: object, origin: object) -> str:
 
 
 def apply_overrides(df: DataFrame, rules: OverrideRules) -> DataFrame:
-    """The sections in order, later ones win; sections without their columns are skipped."""
+    """The sections in order, later ones win; sections without their columns are skipped.
+
+    Sections that only read what a step before has set share one projection.
+    """
     has = set(df.columns).__contains__
-    if rules.special_values is not None and has("username_ufinal"):
-        df = replace_if_found(
-            df, rules.special_values, F.col("username_ufinal"), "match", "username_ufinal",
-            "username_ufinal",
-        )
-    if rules.by_case is not None and has("numero_caso"):
-        df = replace_if_found(
-            df, rules.by_case, F.col("numero_caso"), "numero_caso", "username_ufinal",
-            "username_ufinal",
-        )
-    if rules.by_case_and_origin is not None and has("numero_caso") and has("origen_caso"):
-        key = F.concat(F.col("numero_caso").cast("string"), F.lit("|"), "origen_caso")
-        df = replace_if_found(
-            df, rules.by_case_and_origin, key, "key", "username_ufinal", "username_ufinal"
-        )
+    helpers: list[str] = []
+
+    def hits(table: RuleTable, key, *columns):
+        nonlocal df
+        df, values, more = look_up(df, table, key, table.key, columns)
+        helpers.extend(more)
+        return values
+
+    def apply(values):
+        nonlocal df
+        df = set_columns(df, values, helpers) if values else df
+        helpers.clear()
+
+    # 1-3: user names by literal value, by case, by alias
+    usernames = {}
+    if has("username_ufinal"):
+        value = F.col("username_ufinal")
+        if rules.special_values is not None:
+            value = F.coalesce(*hits(rules.special_values, value, "username_ufinal"), value)
+        if rules.by_case is not None and has("numero_caso"):
+            value = F.coalesce(*hits(rules.by_case, F.col("numero_caso"), "username_ufinal"), value)
+        if rules.by_case_and_origin is not None and has("numero_caso") and has("origen_caso"):
+            key = F.concat(F.col("numero_caso").cast("string"), F.lit("|"), "origen_caso")
+            value = F.coalesce(*hits(rules.by_case_and_origin, key, "username_ufinal"), value)
+        usernames["username_ufinal"] = value
+    if has("username_resp"):
+        usernames["username_resp"] = F.col("username_resp")
+    apply(usernames)
     if rules.aliases is not None:
-        for column in ("username_ufinal", "username_resp"):
-            if has(column):
-                df = replace_if_found(df, rules.aliases, F.col(column), "from", "to", column)
-    for names, target, username in (
+        apply({c: F.coalesce(*hits(rules.aliases, F.col(c), "to"), c) for c in usernames})
+    # 4: names by user name
+    names = {}
+    for table, target, username in (
         (rules.owner_names, "responsable", "username_resp"),
         (rules.user_names, "usuariofinal", "username_ufinal"),
     ):
-        if names is not None and has(target) and has(username):
-            df = replace_if_found(df, names, F.col(username), "username", "nombre", target)
-    for section, target, canonical, username in (
+        if table is not None and has(target) and has(username):
+            names[target] = F.coalesce(*hits(table, F.col(username), "nombre"), target)
+    apply(names)
+    # 5, 6: canonical name and user name by name
+    matched = {}
+    for table, target, canonical, username in (
         (rules.by_owner, "responsable", "responsable_canonico", "username_resp"),
         (rules.by_user, "usuariofinal", "usuariofinal_canonico", "username_ufinal"),
     ):
-        if section is not None and has(target):
-            df = _match_section(df, section, target, canonical, username)
+        if table is not None and has(target):
+            name, user = hits(table, trim_lower(F.col(target)), canonical, username)
+            matched[target] = F.coalesce(name, target)
+            if has(username):
+                matched[username] = F.coalesce(user, username)
+    apply(matched)
     return df
-
-
-def _match_section(
-    df: DataFrame, section: RuleTable, target: str, canonical: str, username: str
-) -> DataFrame:
-    take = {"_canonical": canonical, "_username": username}
-    out = look_up(df, section, trim_lower(F.col(target)), "match", take)
-    values = {target: F.coalesce("_canonical", target)}
-    if username in df.columns:
-        values[username] = F.coalesce("_username", username)
-    return _put(out, df, values)

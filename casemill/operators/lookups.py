@@ -20,25 +20,25 @@ from ..functions.text import normalize_text, trim_lower
 
 # up to here a rule table is a literal map (scanned per row), beyond it a broadcast join
 INLINE_RULES = 128
+_ENTRY, _FIELD = "\x1e", "\x1f"
 
 
 @dataclass(frozen=True)
 class RuleTable:
-    """A small lookup whose rows the driver holds: unique keys, one or more text values."""
+    """A small lookup whose rows the driver holds: unique text keys, one or more text values."""
 
     key: str
     values: tuple[str, ...]
-    rows: Mapping[object, tuple[str, ...]]
+    rows: Mapping[str, tuple[str, ...]]
 
     def value(self, key: Column, column: str) -> Column:
         """The value for a key, NULL without a hit."""
         if not self.rows:
             return F.lit(None).cast("string")
         at = self.values.index(column)
-        pairs = []
-        for k, row in self.rows.items():
-            pairs += [F.lit(k).cast("bigint") if isinstance(k, int) else F.lit(k), F.lit(row[at])]
-        return F.try_element_at(F.create_map(*pairs), key)
+        entries = _ENTRY.join(f"{k}{_FIELD}{row[at]}" for k, row in self.rows.items())
+        mapping = F.str_to_map(F.lit(entries), F.lit(_ENTRY), F.lit(_FIELD))
+        return F.try_element_at(mapping, key.cast("string"))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The rules as local rows of a size Spark knows."""
@@ -78,37 +78,46 @@ def look_up(
     lookup: Lookup,
     key: Column,
     lookup_on: str,
-    take: Mapping[str, str],
+    columns: Sequence[str],
     spread_by: Sequence[str] = ("numero_caso",),
-) -> DataFrame:
-    """Values of a lookup with unique keys as new columns, NULL without a hit.
+) -> tuple[DataFrame, list[Column], list[str]]:
+    """The values of a lookup with unique keys for every fact, NULL without a hit.
 
-    ``take`` maps new column names to lookup columns. Facts without a key can never match;
-    they get a key of their own kind (0x00 never starts a lookup key) spread over many
-    partitions by ``spread_by``, or a shuffle join would send them all to one task.
+    Returns the facts, the value columns, and the names of helper columns to drop in the end.
+    Facts without a key can never match; they get a key of their own kind (0x00 never starts
+    a lookup key) spread over many partitions by ``spread_by``, or a shuffle join would send
+    them all to one task.
     """
     if isinstance(lookup, RuleTable):
         if len(lookup.rows) <= INLINE_RULES:
-            return facts.withColumns({n: lookup.value(key, c) for n, c in take.items()})
-        lookup = lookup.frame(facts.sparkSession)
+            return facts, [lookup.value(key, c) for c in columns], []
+        lookup, key = lookup.frame(facts.sparkSession), key.cast("string")
+    n = sum(c.startswith("_key") for c in facts.columns)
+    right_key, names = f"_lookup{n}", [f"_value{n}_{c}" for c in columns]
     right = lookup.select(
-        F.col(lookup_on).alias("_lookup_key"), *[F.col(c).alias(n) for n, c in take.items()]
+        F.col(lookup_on).alias(right_key), *[F.col(c).alias(v) for c, v in zip(columns, names)]
     )
     by = [c for c in spread_by if c in facts.columns]
-    if by and dict(right.dtypes)["_lookup_key"] == "string":
+    if by and dict(right.dtypes)[right_key] == "string":
         key = F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64(*by).cast("string")))
-    joined = facts.withColumn("_fact_key", key).join(
-        right, F.col("_fact_key") == F.col("_lookup_key"), "left"
+    joined = facts.withColumn(f"_key{n}", key).join(
+        right, F.col(f"_key{n}") == F.col(right_key), "left"
     )
-    return joined.drop("_fact_key", "_lookup_key")
+    return joined, [F.col(v) for v in names], [f"_key{n}", right_key, *names]
+
+
+def set_columns(df: DataFrame, values: Mapping[str, Column], helpers: Sequence[str]) -> DataFrame:
+    """Set columns, then drop the helper columns of the lookups they came from."""
+    out = df.withColumns(dict(values))
+    return out.drop(*helpers) if helpers else out
 
 
 def overwrite(
     facts: DataFrame, lookup: Lookup, key: Column, lookup_on: str, value: str, target: str
 ) -> DataFrame:
     """The lookup value, also where there is none (NULL)."""
-    out = look_up(facts, lookup, key, lookup_on, {"_hit": value})
-    return _put(out, facts, {target: F.col("_hit")})
+    out, (hit,), helpers = look_up(facts, lookup, key, lookup_on, [value])
+    return set_columns(out, {target: hit}, helpers)
 
 
 def replace_if_found(
@@ -125,8 +134,8 @@ def replace_if_found(
         return facts
     if only is not None:
         key = F.when(only, key)
-    out = look_up(facts, lookup, key, lookup_on, {"_hit": value})
-    return _put(out, facts, {target: F.coalesce("_hit", target)})
+    out, (hit,), helpers = look_up(facts, lookup, key, lookup_on, [value])
+    return set_columns(out, {target: F.coalesce(hit, target)}, helpers)
 
 
 def fill_if_null(
@@ -136,8 +145,8 @@ def fill_if_null(
     if target not in facts.columns:
         return facts
     key = F.when(F.col(target).isNull(), key)
-    out = look_up(facts, lookup, key, lookup_on, {"_hit": value})
-    return _put(out, facts, {target: F.coalesce(target, "_hit")})
+    out, (hit,), helpers = look_up(facts, lookup, key, lookup_on, [value])
+    return set_columns(out, {target: F.coalesce(target, hit)}, helpers)
 
 
 def remap_by_rules(
@@ -194,10 +203,3 @@ def inverse_dictionary(
         clean(F.col("name")).alias("key"), trim_lower(F.col("username")).alias("value"), "first"
     )
     return last_wins(keyed, "key", ["first"], ["value"])
-
-
-def _put(out: DataFrame, like: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    """Set columns and keep the column order of ``like``."""
-    present = [values[c].alias(c) if c in values else F.col(f"`{c}`") for c in like.columns]
-    new = [v.alias(c) for c, v in values.items() if c not in like.columns]
-    return out.select(*present, *new)

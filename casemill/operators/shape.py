@@ -22,6 +22,8 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
         actual = present.get(old.lower())
         if actual is not None and actual not in sources.setdefault(new, []):
             sources[new].append(actual)
+    if all(len(olds) == 1 for olds in sources.values()) and not set(sources) & set(df.columns):
+        return df.withColumnsRenamed({olds[0]: new for new, olds in sources.items()})
     to_new = {old: new for new, olds in sources.items() for old in olds}
     out, seen = [], set()
     for c in df.columns:
@@ -47,9 +49,10 @@ def with_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def column_or(df: DataFrame, column: str, default: object, result: str | None = None) -> DataFrame:
     """The column if it exists, else a constant, under ``result``."""
-    value = F.col(f"`{column}`") if column in df.columns else F.lit(default)
-    out = df.withColumn(result or column, value)
-    return out.drop(column) if result and result != column else out
+    result = result or column
+    if column in df.columns:
+        return df.withColumnRenamed(column, result)
+    return df.withColumn(result, F.lit(default))
 
 
 def extra_columns(df: DataFrame, target: T.StructType) -> list[str]:
@@ -61,11 +64,13 @@ def extra_columns(df: DataFrame, target: T.StructType) -> list[str]:
 def align(df: DataFrame, target: T.StructType, fill: object = None) -> DataFrame:
     """Exactly the target columns, in its order and types; missing ones get ``fill``."""
     present = set(df.columns)
-    return df.select(
+    if fill is not None:
+        df = df.withColumns({n: F.lit(fill) for n in target.names if n not in present})
+        present |= set(target.names)
+    return df.selectExpr(
         *[
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(fill))
-            .cast(f.dataType)
-            .alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS `{f.name}`"
             for f in target.fields
         ]
     )

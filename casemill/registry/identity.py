@@ -312,11 +312,11 @@ FROM {orders}
 
 def sql_overrides(source: str) -> str:
     """The six sections one after the other."""
-    return f"""SELECT numero_caso, origen_caso,
+    return f"""SELECT * REPLACE (
       CASE lower(trim(responsable)) WHEN 'rita dos' THEN 'Rita D.' WHEN 'owner 4' THEN 'Olga Cuatro' ELSE responsable END AS responsable,
       CASE lower(trim(usuariofinal)) WHEN 'nina nueve' THEN 'Nina N.' WHEN 'user 11' THEN 'Úrsula Once' ELSE usuariofinal END AS usuariofinal,
       CASE lower(trim(usuariofinal)) WHEN 'nina nueve' THEN 'nina' WHEN 'user 11' THEN 'ursula' ELSE username_ufinal END AS username_ufinal,
-      CASE lower(trim(responsable)) WHEN 'rita dos' THEN 'rita' WHEN 'owner 4' THEN 'olga' ELSE username_resp END AS username_resp
+      CASE lower(trim(responsable)) WHEN 'rita dos' THEN 'rita' WHEN 'owner 4' THEN 'olga' ELSE username_resp END AS username_resp)
     FROM (SELECT * REPLACE (
       CASE username_resp WHEN 'r2' THEN 'Rita Dos' ELSE responsable END AS responsable,
       CASE username_ufinal WHEN 'u9' THEN 'Nina Nueve' WHEN 'r2' THEN 'Rita Dos' WHEN 'u30' THEN 'Tere Treinta'

@@ -14,6 +14,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even where that costs one more shuffle further up the plan
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM never compiles methods above 8000 bytes; long projections then run operator by
+    # operator in compiled pieces instead of interpreted as one
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -30,6 +33,7 @@ def local_session(cores: int | str = "*", name: str = "casemill", **conf) -> Spa
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
     )

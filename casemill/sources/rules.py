@@ -46,7 +46,7 @@ def _need(entries: Iterable[Mapping], section: str, *fields: str) -> list[dict]:
 
 def _table(entries: Iterable[Mapping], key: str, *values: str) -> RuleTable:
     """One row per key, the last one."""
-    return RuleTable(key, values, {e[key]: tuple(str(e[v]) for v in values) for e in entries})
+    return RuleTable(key, values, {str(e[key]): tuple(str(e[v]) for v in values) for e in entries})
 
 
 def replacement_rules(entries: Iterable[Mapping], section: str = "rules") -> RuleTable:
