@@ -36,19 +36,20 @@ def whole_minutes(c: Column) -> Column:
 
 def whole_number(c: Column) -> Column:
     """N3 for columns that are numeric already."""
-    number = c.cast("double")
-    kept = F.when(~F.isnan(number), number).try_cast("bigint")
+    kept = F.nanvl(c.cast("double"), F.lit(None).cast("double")).try_cast("bigint")
     return F.coalesce(kept, F.lit(0).cast("bigint"))
 
 
 def parse_duration(c: Column) -> Column:
     """N1: "X horas Y minutos" to minutes; a missing part is 0, NULL stays NULL."""
 
+    text = F.lower(c)
+
     def part(pattern: str) -> Column:
-        found = F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+        found = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
         return F.coalesce(found.try_cast("double"), F.lit(0.0))
 
-    total = part(r"(?i)(\d+)\s*horas?") * 60 + part(r"(?i)(\d+)\s*(?:minutos?|min)")
+    total = part(r"(\d+)\s*horas?") * 60 + part(r"(\d+)\s*(?:minutos?|min)")
     return F.when(c.isNotNull(), total)
 
 
