@@ -62,11 +62,13 @@ def extra_columns(df: DataFrame, target: T.StructType) -> list[str]:
 
 
 def align(df: DataFrame, target: T.StructType, fill: object = None) -> DataFrame:
-    """Exactly the target columns, in its order and types; missing ones get ``fill``."""
+    """Exactly the target columns, in its order and types; missing ones get ``fill``,
+    or NULL where the fill value is not of the column's type."""
     present = set(df.columns)
-    if fill is not None:
-        df = df.withColumns({n: F.lit(fill) for n in target.names if n not in present})
-        present |= set(target.names)
+    missing = [f for f in target.fields if f.name not in present]
+    if fill is not None and missing:
+        df = df.withColumns({f.name: F.lit(fill).try_cast(f.dataType) for f in missing})
+        present |= {f.name for f in missing}
     return df.selectExpr(
         *[
             f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()})"
