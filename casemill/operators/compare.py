@@ -143,9 +143,8 @@ def pair_rows(differing: DataFrame, keys: Sequence[str]) -> DataFrame:
     columns = [c for c in differing.columns if c not in ("_side", "_n")]
     rest = [c for c in columns if c not in keys]
     placed = add_positions(differing, ["_side", *keys, *rest], "_start", weight="_n")
-    left_total = F.coalesce(
-        differing.where("_side = 0").agg(F.sum("_n")).scalar(), F.lit(0)
-    )
+    left_end = placed.where("_side = 0").agg(F.max(F.col("_start") + F.col("_n"))).scalar()
+    left_total = F.coalesce(left_end, F.lit(0))
     placed = placed.withColumn(
         "_start", F.when(F.col("_side") == 0, F.col("_start")).otherwise(F.col("_start") - left_total)
     )

@@ -70,7 +70,7 @@ def training_matrix(rows: DataFrame) -> DataFrame:
     The row number only has to be unique, so it costs no shuffle.
     """
     rows = rows.withColumn("indice", F.monotonically_increasing_id())
-    codes = cut(category_codes(rows, [*CODED, "fecha_solucion"]))
+    codes = cut(category_codes(rows, [*CODED, "fecha_solucion"]), ("column_name",))
     rows = encode(rows, codes, "fecha_solucion", "fechaCaso")
     for column in CODED:
         rows = encode(rows, codes, column)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings that decide results or skew handling; everything else is left to the cluster.
 SQL_SETTINGS = {
@@ -65,13 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/casemill-{uuid.uuid4().hex}/{name}"
 
 
-def cut(df):
-    """Materialise ``df`` in the shared folder and go on from there.
+def cut(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the written table.
 
-    The written files survive the loss of executors, and both consumers of a branch that
-    feeds two sides of a join then read exactly the same rows.
+    The files survive the loss of executors, every consumer reads exactly the same rows, and
+    Spark knows the table's size when it picks a join.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "cut.parquet")
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
