@@ -7,26 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The export formats in the order they are tried; the first hit wins. Those that
+# The export formats in the order they are tried; the first hit wins. Formats that
 # cannot be mistaken for each other share a pattern as optional parts, which saves attempts.
+# Besides, "yyyy-M-d H:m:s" is read by a plain cast.
 DATE_FORMATS = (
-    "[M/d/yyyy h:m:s a][M/d/yyyy H:m:s][yyyy-M-d H:m:s]",
+    "[M/d/yyyy h:m:s a][M/d/yyyy H:m:s]",
     "d/M/yyyy H:m:s",
 )
-# what every value these formats take looks like
-DATE_SHAPE = r"^\d{1,4}[/-]\d{1,2}[/-]\d{1,4} \d{1,2}:\d{1,2}:\d{1,2}( [AaPp][Mm])?$"
+# what every value of these formats looks like; keeps others away from parser exceptions
+_SLASHED = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}( [AaPp][Mm])?$"
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
-def parse_date(
-    c: Column, formats: Sequence[str] = DATE_FORMATS, shape: str = DATE_SHAPE
-) -> Column:
+def parse_date(c: Column, formats: Sequence[str] | None = None) -> Column:
     """First format that parses, else NULL, as TIMESTAMP_NTZ.
 
-    The shape check keeps rows away from formats that cannot match; without it every bad value
-    would pay for a parser exception per format.
+    ``formats`` replaces the export formats by others, tried one after the other.
     """
-    tries = [F.try_to_timestamp(c, F.lit(f)) for f in formats]
-    return F.when(F.rlike(c, F.lit(shape)), F.coalesce(*tries)).cast("timestamp_ntz")
+    tries = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats or DATE_FORMATS])
+    if formats:
+        return tries.cast("timestamp_ntz")
+    slashed = F.when(F.rlike(c, F.lit(_SLASHED)), tries).cast("timestamp_ntz")
+    return F.when(F.rlike(c, F.lit(_ISO)), c.try_cast("timestamp_ntz")).otherwise(slashed)
 
 
 def is_unparsed(raw: Column, parsed: Column) -> Column:

@@ -27,7 +27,7 @@ def _accent_table() -> tuple[str, str, dict[str, str]]:
     for char in map(chr, [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2010)]):
         decomposed = unicodedata.normalize("NFKD", char)
         plain = "".join(c for c in decomposed if not unicodedata.combining(c))
-        if len(plain) == 1 and plain != char and plain.isascii():
+        if plain and plain != char and plain.isascii():
             table.setdefault(char, plain)
     single = {k: v for k, v in table.items() if len(v) == 1}
     longer = {k: v for k, v in table.items() if len(v) > 1}
@@ -35,6 +35,8 @@ def _accent_table() -> tuple[str, str, dict[str, str]]:
 
 
 _FROM, _TO, _LONGER = _accent_table()
+# letters that may need more than one: a few of Latin-1 and, as one range, all beyond it
+_MAY_SPELL = "[" + "".join(k for k in _LONGER if k <= "\xff") + "\u0100-\uffff]"
 # translate() deletes what has no counterpart: loose combining marks go away
 _MARKS = "".join(map(chr, range(0x0300, 0x0370)))
 
@@ -42,14 +44,13 @@ _MARKS = "".join(map(chr, range(0x0300, 0x0370)))
 def strip_accents(c: Column) -> Column:
     """Latin text without accents. Pure ASCII values skip the table."""
     plain = F.translate(c, _FROM + _MARKS, _TO)
-    letters = "".join(_LONGER)
     pairs = F.str_to_map(
         F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in _LONGER.items())), F.lit("\x1e"), F.lit("\x1f")
     )
     spelled = F.aggregate(F.map_entries(pairs), plain, lambda t, e: F.replace(t, e.key, e.value))
     return (
         F.when(F.octet_length(c) == F.char_length(c), c)
-        .when(F.rlike(c, F.lit(f"[{letters}]")), spelled)
+        .when(F.rlike(c, F.lit(_MAY_SPELL)), spelled)
         .otherwise(plain)
     )
 

@@ -165,3 +165,13 @@ def test_fill_by_category_is_ordered(rows):
     rules = [("FARM", "first"), ("BANK", "second")]
     out = df.select(flags.fill_by_category(F.col("u"), F.col("s"), rules).alias("u")).collect()
     assert [r.u for r in out] == ["first", "second", "x", None]
+
+
+def test_other_formats(values):
+    got = values(lambda c: dates.parse_date(c, ["yyyyMMdd"]), ["20260305", "2026-03-05 00:00:00", None])
+    assert got == [datetime(2026, 3, 5), None, None]
+
+
+def test_dates_at_the_edges(values):
+    texts = ["2026-3-5 9:1:3", "2026-01-01 24:00:00", "2026-01-01 10:00:60", "2024-02-29 0:0:0", "2025-02-29 0:0:0", " 2026-01-01 10:00:00"]
+    assert values(dates.parse_date, texts) == [datetime(2026, 3, 5, 9, 1, 3), None, None, datetime(2024, 2, 29), None, None]

@@ -227,3 +227,36 @@ def test_rule_violations_raise(rows):
 def test_empty_coverage(rows):
     ids = rows("id string")
     assert metrics.id_coverage(ids, ids).first().coverage_pct == 0.0
+
+
+def test_a_hot_key_is_split(spark):
+    """A third of the facts under one key and a lookup too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 300000, 1, 8).select(
+            F.col("id").alias("numero_caso"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+            F.lit("old").alias("t"),
+        )
+        lookup = spark.range(200000).select(
+            F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"), F.lit("hit").alias("value")
+        )
+        out = lookups.replace_if_found(facts, lookup, F.col("k"), "key", "value", "t")
+        hits = {r.t: r["count"] for r in out.groupBy("t").count().collect()}
+        counted = out.select("numero_caso", "t")
+        counted.collect()
+        assert "skew=true" in plan_of(counted)
+        # ids 1..199999 not divisible by three, and the hot third
+        assert hits == {"hit": 100000 + 133333, "old": 300000 - 233333}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
