@@ -78,10 +78,10 @@ def trim_lower(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """A capital after every non-letter, not only after a blank.
 
-    ``initcap`` knows blanks only, so a marked blank is put before each letter that follows a
-    non-letter and taken out again.
+    ``initcap`` knows simple blanks only, so a marked one is put before each letter that
+    follows any other non-letter, and taken out again.
     """
-    marked = F.regexp_replace(c, r"(?<=\P{L})(?=\p{L})", "\u0001 ")
+    marked = F.regexp_replace(c, r"([^\p{L} ])(\p{L})", "$1\u0001 $2")
     return F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
 
 
@@ -117,6 +117,7 @@ def remove_literal(c: Column, *pieces: str) -> Column:
 SPACE = r"[ \t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u00a0]"
 _WORD = SPACE.replace("[", "[^")
 _WIDE = "".join(b for b in BLANKS if b > "\xff")
+_UNEVEN = f"  |{SPACE.replace('[ ', '[')}"
 _TWO = f"{_WORD}+{SPACE}+{_WORD}+"
 # six words | three and more | two: the part before and the part after the turn
 _TURN = (
@@ -139,7 +140,9 @@ def reorder_name(c: Column, keep_as_is: Iterable[str] = ()) -> Column:
         if kept:
             several &= ~F.lower(c).isin(kept)
         name = F.regexp_replace(text, _TURN, "$2$4$6 $1$3$5")
-        return F.when(several, F.regexp_replace(name, f"{SPACE}+", " ")).otherwise(c)
+        uneven = F.rlike(text, F.lit(_UNEVEN))
+        even = F.when(uneven, F.regexp_replace(name, f"{SPACE}+", " ")).otherwise(name)
+        return F.when(several, even).otherwise(c)
 
     # wide blanks are rare: only names with a character of their range pay for making them simple
     simple = F.translate(c, _WIDE, " " * len(_WIDE))
