@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_mixture, quality_fm, segment_search
+from . import language_mixture, quality_fm, segment_search, suffix_dedup
 
-MODULES = (segment_search, quality_fm, language_mixture)
+MODULES = (segment_search, quality_fm, language_mixture, suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
