@@ -19,11 +19,13 @@ BLOCK_BITS = 8
 BLOCKS = 1 << BLOCK_BITS
 
 
-def places(keys: np.ndarray, bits: int, probes: int) -> np.ndarray:
-    """[key, probe] bit numbers in the whole filter of 2**bits bits."""
+def places(keys: np.ndarray, bits: int, probes: int, level: np.ndarray | int = 0) -> np.ndarray:
+    """[key, probe] bit numbers in the whole filter of 2**bits bits. Levels of a key are keys of
+    their own in the same block."""
     keys = kernel.mix(keys)
     inner = np.uint64(bits - BLOCK_BITS)
     block = (keys >> np.uint64(64 - BLOCK_BITS)) << inner
+    keys = kernel.mix(keys + np.asarray(level).astype(np.uint64))
     mask = (np.uint64(1) << inner) - np.uint64(1)
     step = kernel.mix(keys ^ np.uint64(0xA5A5A5A55A5A5A5A)) | np.uint64(1)
     at = keys[:, None] * np.uint64(0xD1342543DE82EF95) + np.arange(1, probes + 1, dtype=np.uint64) * step[:, None]
@@ -34,11 +36,11 @@ def block_of(keys: np.ndarray) -> np.ndarray:
     return (kernel.mix(keys) >> np.uint64(64 - BLOCK_BITS)).astype(np.int32)
 
 
-def contains(filter_: np.ndarray, keys: np.ndarray, bits: int, probes: int) -> np.ndarray:
+def contains(filter_: np.ndarray, keys: np.ndarray, bits: int, probes: int, level: int = 0) -> np.ndarray:
     """True where the key was added, and seldom elsewhere."""
     found = np.ones(len(keys), bool)
     alive = np.arange(len(keys))
-    at = places(keys, bits, probes)
+    at = places(keys, bits, probes, level)
     for k in range(probes):
         p = at[alive, k]
         hit = (filter_[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1
@@ -54,7 +56,7 @@ def set_bits(filter_: np.ndarray, at: np.ndarray) -> None:
 def _numbered(batches):
     for batch in batches:
         keys = np.asarray(batch.column("key")).view(np.uint64)
-        yield kernel.rows(block=pa.array(block_of(keys)), key=batch.column("key"))
+        yield kernel.rows(block=pa.array(block_of(keys)), key=batch.column("key"), low=batch.column("low"), high=batch.column("high"))
 
 
 def _build(bits: int, probes: int):
@@ -63,22 +65,29 @@ def _build(bits: int, probes: int):
     def run(batches):
         parts: dict[int, np.ndarray] = {}
         for batch in batches:
-            blocks, keys = np.asarray(batch.column("block")), np.asarray(batch.column("key")).view(np.uint64)
+            low, high = np.asarray(batch.column("low")), np.asarray(batch.column("high"))
+            times = high - low + 1
+            blocks = np.repeat(np.asarray(batch.column("block")), times)
+            keys = np.repeat(np.asarray(batch.column("key")).view(np.uint64), times)
+            level = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at = places(keys, bits, probes, level)
             for block in np.unique(blocks):
                 if block not in parts:
                     parts[block] = np.zeros(size, np.uint8)
-                mine = places(keys[blocks == block], bits, probes).ravel()
-                set_bits(parts[block], mine - np.uint64(int(block) * size * 8))
+                set_bits(parts[block], at[blocks == block].ravel() - np.uint64(int(block) * size * 8))
         yield kernel.rows(block=pa.array(list(parts), pa.int32()), bits=kernel.binaries([p.tobytes() for p in parts.values()]))
 
     return run
 
 
 def build(keys: DataFrame, bits: int, probes: int) -> np.ndarray:
-    """The filter over the long column ``key``: 2**bits bits as bytes on the driver."""
+    """The filter over the long column ``key`` as bytes on the driver. With int columns low and
+    high, the key is added with each level from low to high, without them with level 0."""
     ship(keys.sparkSession)
+    level = (lambda c: F.col(c) if c in keys.columns else F.lit(0).alias(c))
     blocks = (
-        keys.select("key").mapInArrow(_numbered, "block int, key long").repartition(BLOCKS // 8, "block")
+        keys.select("key", level("low"), level("high")).mapInArrow(_numbered, "block int, key long, low int, high int")
+        .repartition(BLOCKS // 8, "block")
         .mapInArrow(_build(bits, probes), "block int, bits binary")
     )
     out = np.zeros((1 << bits) // 8, np.uint8)
