@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_lm, language_mixture, quality_fm, segment_search, suffix_dedup
+from . import bloom_lm, language_mixture, quality_fm, segment_search, suffix_dedup, warc
 
-MODULES = (segment_search, quality_fm, bloom_lm, language_mixture, suffix_dedup)
+MODULES = (segment_search, warc, quality_fm, bloom_lm, language_mixture, suffix_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
