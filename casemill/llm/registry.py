@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_lm, language_mixture, quality_fm, segment_search, suffix_dedup, warc
+from . import bloom_lm, decontaminate, language_mixture, quality_fm, segment_search, sentencepiece_wfst, suffix_dedup, warc
 
-MODULES = (segment_search, warc, quality_fm, bloom_lm, language_mixture, suffix_dedup)
+MODULES = (
+    segment_search, warc, quality_fm, bloom_lm, decontaminate, language_mixture, sentencepiece_wfst, suffix_dedup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
