@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bloom_lm, decontaminate, jaccard_join, language_mixture, quality_fm, segment_search, sentencepiece_wfst, suffix_dedup, warc,
+    bloom_lm, decontaminate, jaccard_join, language_mixture, quality_fm, segment_search, sentencepiece_wfst, suffix_dedup,
+    token_rollup, warc,
 )
 
 MODULES = (
-    jaccard_join, segment_search, warc, quality_fm, bloom_lm, decontaminate, language_mixture, sentencepiece_wfst, suffix_dedup,
+    token_rollup, jaccard_join, segment_search, warc, quality_fm, bloom_lm, decontaminate, language_mixture, sentencepiece_wfst, suffix_dedup,
 )
 
 
