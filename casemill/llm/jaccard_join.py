@@ -159,8 +159,10 @@ def _facts(words: int):
     def run(batches):
         for batch in batches:
             rows = [(r, len(t), set_id(t) if len(t) else None) for r, t in sets_of(batch.column("text"), words)]
+            own = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([n for _, n, _ in rows], pa.int64()), pa.array([s for _, _, s in rows], pa.int64())], names=["id", "n", "sid"]
+                [batch.column(c) for c in own] + [pa.array([n for _, n, _ in rows], pa.int64()), pa.array([s for _, _, s in rows], pa.int64())],
+                names=[*own, "n", "sid"],
             )
 
     return run
@@ -307,15 +309,15 @@ def _lists(posted: DataFrame) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
-    """(facts, links): (id, n, sid) of each row of ``docs`` (id, text), n being its set's size and
-    sid its set's name (null without words); and verified pairs of sids (a, b) that connect all
-    that similarity connects."""
+    """(facts, links): each row of ``docs`` (id, text and others) with n for text, its set's size,
+    and sid, its set's name (null without words); and verified pairs of sids (a, b) that connect
+    all that similarity connects."""
     spark = ship(docs.sparkSession)
     threshold = Fraction(threshold).limit_denominator(10_000)
     if not Fraction(7, 10) <= threshold <= 1:
         raise ValueError("thresholds from 0.7 to 1")
-    id_kind = docs.schema["id"].dataType.simpleString()
-    facts = cut(docs.mapInArrow(_facts(words), f"id {id_kind}, n long, sid long"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    facts = cut(docs.mapInArrow(_facts(words), f"{kinds}, n long, sid long"))
     bits, lowest = frequencies(docs, words)
     shared = spark.sparkContext.broadcast(bits)
     posted = docs.select("text").mapInArrow(_signed(words, threshold, lowest, shared), "sig long, sid long").distinct()
@@ -372,15 +374,34 @@ def join(docs: DataFrame, keep_id: str = "doc_id", text: str = "text", words: in
     component (set_id null). Rows alike in text are linked, rows alike in id too are one by one in
     the result. A null id is never the smallest unless the component has no other. Tokens and sets
     are told apart by 64-bit hashes. An empty table gives no rows."""
-    own = docs.select(F.col(keep_id).alias("id"), F.col(text).alias("text"))
-    facts, links = similar_classes(own, words, threshold)
+    classed = _classed(docs.select(F.col(keep_id).alias("id"), F.col(text).alias("text")), words, threshold)
+    return classed.select(F.col("id").alias(keep_id), F.col("n").alias("n_shingles"), "component_id", F.col("sid").alias("set_id"))
+
+
+def _classed(docs: DataFrame, words: int, threshold: Fraction) -> DataFrame:
+    """The facts of ``similar_classes`` with component_id."""
+    facts, links = similar_classes(docs, words, threshold)
     roots = components(links).select(F.col("node").alias("sid"), F.col("root"))
     classed = facts.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = classed.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("smallest"))
-    return classed.join(smallest, "root", "left").select(
-        F.col("id").alias(keep_id), F.col("n").alias("n_shingles"),
-        F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id"), F.col("sid").alias("set_id"),
-    )
+    component = F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("smallest"))
+    return classed.join(smallest, "root", "left").withColumn("component_id", component).drop("root", "smallest")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = 5, threshold=Fraction(8, 10)) -> DataFrame:
+    """``docs`` with one row left of each component, the one with the smallest id.
+
+    Rows without words all stay. Of rows alike in id and text one stays; rows that share the
+    smallest id but not the text stay, and so do different texts in a component without any id."""
+    rid = F.xxhash64(F.col(id_column), F.col(text))
+    classed = cut(_classed(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), rid.alias("rid")), words, threshold))
+    grouped = classed.where("sid IS NOT NULL")
+    gone = grouped.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("rid").distinct()
+    kept = docs.withColumn("_rid", rid).join(gone.withColumnRenamed("rid", "_rid"), "_rid", "left_anti")
+    twice = grouped.groupBy("rid").agg(F.count("*").alias("k")).where("k > 1").select(F.col("rid").alias("_rid"))
+    if not twice.isEmpty():
+        kept = kept.join(twice, "_rid", "left_anti").unionByName(kept.join(twice, "_rid", "left_semi").dropDuplicates(["_rid"]))
+    return kept.select(*docs.columns)
 
 
 NAME = "op2_token_combination_join"
@@ -389,3 +410,8 @@ SQL = None
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents")).drop("set_id")
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs)

@@ -385,16 +385,16 @@ def _apply(names):
                 digest.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in names]
-                + [kernel.binaries(kept), *(pa.array(x, pa.int64()) for x in (size, removed, count)), pa.array(digest, pa.string())],
-                names=[*names, "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                + [kernel.binaries(kept), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), *(pa.array(x, pa.int64()) for x in (size, removed, count)), pa.array(digest, pa.string())],
+                names=[*names, "kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
     return run
 
 
 def remove(docs: DataFrame, keep: dict[str, Column], id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per document: the columns of ``keep`` and kept (binary), n_bytes, n_removed, n_spans,
-    kept_sha256.
+    """One row per document: the columns of ``keep`` and kept (binary), kept_text (without the
+    remains of cut characters), n_bytes, n_removed, n_spans, kept_sha256.
 
     Texts are taken as UTF-8 bytes, null as empty. Places are judged on the input: all places of a
     repeated string lose it, those in one document too, and overlaps count. Texts shorter than
@@ -409,9 +409,9 @@ def remove(docs: DataFrame, keep: dict[str, Column], id_column: str = "doc_id",
     names = [f"k{i}" for i in range(len(keep))]
     kinds = ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in names)
     out = own.join(ranges, "rid", "left").drop("rid").mapInArrow(
-        _apply(names), f"{kinds}, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        _apply(names), f"{kinds}, kept binary, kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
-    return out.select(*[F.col(c).alias(n) for c, n in zip(names, keep)], "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select(*[F.col(c).alias(n) for c, n in zip(names, keep)], "kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 NAME = "op10_suffix_array_dedup"
@@ -419,4 +419,13 @@ SQL = None
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")}).drop("kept")
+    return remove(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")}).drop("kept", "kept_text")
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without their repeated passages; n_chars follows the text."""
+    own = {c: F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")}
+    rest = remove(docs, own | {"_null": F.col("text").isNull()})
+    text = F.when(~F.col("_null"), F.col("kept_text"))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return rest.select(*[(new[c] if c in new else F.col(f"`{c}`")).alias(c) for c in docs.columns])
