@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import quality_fm
+from casemill.llm import decontaminate, jaccard_join, quality_fm, sentencepiece_wfst, suffix_dedup
 from casemill.llm.tables import scratch_path, table
 
 STAGES = [
     ("quality_classifier", quality_fm.stage),
+    ("ngram_jaccard_join", jaccard_join.stage),
+    ("suffix_array_dedup", suffix_dedup.stage),
+    ("benchmark_decontamination", decontaminate.stage),
+    ("sentencepiece", sentencepiece_wfst.stage),
 ]
 
 # Trained models, text removal and tokenisation can't be put in SQL; tests hold the stages against
