@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,6 @@ def pattern_tokens(pattern: str) -> Callable[[Column], Column]:
 
 def piece_tokens(path: str) -> Callable[[Column], Column]:
     """A tokenizer version that counts the ids of a byte-pair vocabulary in tiktoken's format."""
-    import pandas as pd
     import public_tokenizers
 
     split = public_tokenizers.PATTERN
