@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lookup_key, only_digits, strip, trim_lower
-from .lookups import RuleTable, fill_if_null, last_wins, look_up, set_columns
+from .lookups import Rules, fill_if_null, last_wins, look_up, set_columns
 from .shape import concat
 
 
@@ -113,14 +113,14 @@ def fill_names_from_directory(
 class OverrideRules:
     """The six sections, each with unique keys; ``None`` for an empty section."""
 
-    special_values: RuleTable | None = None  # match -> username_ufinal
-    by_case: RuleTable | None = None  # numero_caso -> username_ufinal
-    by_case_and_origin: RuleTable | None = None  # case_key(...) -> username_ufinal
-    aliases: RuleTable | None = None  # from -> to
-    owner_names: RuleTable | None = None  # username -> nombre, rules that apply to the owner
-    user_names: RuleTable | None = None  # username -> nombre, rules that apply to the end user
-    by_owner: RuleTable | None = None  # match -> responsable_canonico, username_resp
-    by_user: RuleTable | None = None  # match -> usuariofinal_canonico, username_ufinal
+    special_values: Rules | None = None  # match -> username_ufinal
+    by_case: Rules | None = None  # numero_caso -> username_ufinal
+    by_case_and_origin: Rules | None = None  # case_key(...) -> username_ufinal
+    aliases: Rules | None = None  # from -> to
+    owner_names: Rules | None = None  # username -> nombre, rules that apply to the owner
+    user_names: Rules | None = None  # username -> nombre, rules that apply to the end user
+    by_owner: Rules | None = None  # match -> responsable_canonico, username_resp
+    by_user: Rules | None = None  # match -> usuariofinal_canonico, username_ufinal
 
 
 def case_key(number: object, origin: object) -> str:
@@ -136,7 +136,7 @@ def apply_overrides(df: DataFrame, rules: OverrideRules) -> DataFrame:
     has = set(df.columns).__contains__
     helpers: list[str] = []
 
-    def hits(table: RuleTable, key, *columns):
+    def hits(table: Rules, key, *columns):
         nonlocal df
         df, values, more = look_up(df, table, key, table.key, columns)
         helpers.extend(more)

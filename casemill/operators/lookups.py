@@ -2,8 +2,9 @@
 
 Lookup tables are reduced to one row per key and then joined from the left without a hint:
 Spark broadcasts them while their size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-falls back to a sort-merge join, with hot keys split at run time, beyond it. Hand-kept rules
-are few enough to stand in the expression itself, which keeps a dozen joins out of the plan.
+falls back to a sort-merge join, with hot keys split at run time, beyond it. Rules the driver
+holds can stand in the expression itself while they are few, which keeps a dozen joins out of the
+plan; that is a matter of cost only, both ways look a key up by equality of its text.
 """
 
 from __future__ import annotations
@@ -18,9 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_text, trim_lower
 
 
-# up to here a rule table is a literal map (scanned per row), beyond it a broadcast join
+# up to here a rule table is a literal map (scanned per row), beyond it a join; rows are the same
 INLINE_RULES = 128
-_ENTRY, _FIELD = "\x1e", "\x1f"
 
 
 @dataclass(frozen=True)
@@ -36,8 +36,7 @@ class RuleTable:
         if not self.rows:
             return F.lit(None).cast("string")
         at = self.values.index(column)
-        entries = _ENTRY.join(f"{k}{_FIELD}{row[at]}" for k, row in self.rows.items())
-        mapping = F.str_to_map(F.lit(entries), F.lit(_ENTRY), F.lit(_FIELD))
+        mapping = F.map_from_arrays(F.lit(list(self.rows)), F.lit([r[at] for r in self.rows.values()]))
         return F.try_element_at(mapping, key.cast("string"))
 
     def frame(self, spark: SparkSession) -> DataFrame:
@@ -48,7 +47,20 @@ class RuleTable:
         return spark.createDataFrame(pa.table(columns))
 
 
-Lookup = DataFrame | RuleTable
+@dataclass(frozen=True)
+class RuleFrame:
+    """A rule table kept as a DataFrame with unique text keys, of any size."""
+
+    key: str
+    values: tuple[str, ...]
+    table: DataFrame
+
+    def frame(self, _: SparkSession) -> DataFrame:
+        return self.table
+
+
+Rules = RuleTable | RuleFrame
+Lookup = DataFrame | RuleTable | RuleFrame
 
 
 def last_wins(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -91,6 +103,7 @@ def look_up(
     if isinstance(lookup, RuleTable):
         if len(lookup.rows) <= INLINE_RULES:
             return facts, [lookup.value(key, c) for c in columns], []
+    if not isinstance(lookup, DataFrame):
         lookup, key = lookup.frame(facts.sparkSession), key.cast("string")
     n = sum(c.startswith("_key") for c in facts.columns)
     right_key, names = f"_lookup{n}", [f"_value{n}_{c}" for c in columns]
@@ -166,6 +179,7 @@ def remap_by_rules(
 
 def _dictionary(df: DataFrame, username: str, name: str) -> DataFrame:
     """One row per user name as written: where it first stood and its last name."""
+    # ``_row`` is any value that orders the rows
     rows = df if "_row" in df.columns else df.withColumn("_row", F.lit(0))
     return (
         rows.where(F.col(username).isNotNull())

@@ -15,8 +15,17 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
+# what one range partition should hold by the planner's estimate
+PARTITION_BYTES = 256 << 20
+# an estimate of a join or an explode can be far too high
+MAX_PARTITIONS = 100_000
+
+
 def _range_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """At least the session's number; more where the estimated size asks for it."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(usual, min(-(-size // PARTITION_BYTES), MAX_PARTITIONS))
 
 
 def add_positions(
@@ -57,45 +66,34 @@ def add_positions(
 def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """M2: (column_name, value, code): sorted distinct values of each column numbered from 0.
 
-    All columns are coded in one pass. Dates are written so that text order is time order.
-    NULL is not a value and gets no code.
+    All columns are coded in one pass and must have one type; text and times are coded apart, each
+    in its own order. NULL is a category of its own, the last one of its column.
     """
-    types = dict(df.dtypes)
+    kinds = {dict(df.dtypes)[c] for c in columns}
+    if len(kinds) != 1:
+        raise ValueError(f"columns of several types are coded apart: {sorted(kinds)}")
     pairs = F.explode(
         F.array(
-            *[
-                F.struct(F.lit(c).alias("column_name"), as_sortable_text(c, types[c]).alias("value"))
-                for c in columns
-            ]
+            *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
         )
     )
-    distinct = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct()
-    placed = add_positions(distinct, ["column_name", "value"])
+    distinct = df.select(pairs.alias("p")).select("p.*").distinct()
+    placed = add_positions(
+        distinct.withColumn("_missing", F.col("value").isNull()), ["column_name", "_missing", "value"]
+    )
     # one row per encoded column
     starts = placed.groupBy("column_name").agg(F.min("position").alias("_start"))
     return placed.join(F.broadcast(starts), "column_name").select(
-        "column_name", "value", (F.col("position") - F.col("_start")).cast("int").alias("code")
+        "column_name", "value", (F.col("position") - F.col("_start")).alias("code")
     )
 
 
-def as_sortable_text(column: str, dtype: str):
-    """The value as text whose byte order is the value's order."""
-    if dtype in ("timestamp", "timestamp_ntz", "date"):
-        return F.date_format(F.col(column).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    if dtype != "string":
-        raise ValueError(f"column {column!r} of type {dtype} cannot be coded; cast it first")
-    return F.col(column)
-
-
 def encode(df: DataFrame, codes: DataFrame, column: str, result: str | None = None) -> DataFrame:
-    """M2: put the code of ``column`` into ``result`` (by default in place)."""
+    """M2: put the code of ``column`` into ``result`` (by default in place); NULL has one too."""
     dictionary = codes.where(F.col("column_name") == column).select(
         F.col("value").alias("_value"), F.col("code").alias("_code")
     )
-    text = as_sortable_text(column, dict(df.dtypes)[column])
-    joined = df.withColumn("_text", text).join(
-        dictionary, F.col("_text") == F.col("_value"), "left"
-    )
+    joined = df.join(dictionary, F.col(f"`{column}`").eqNullSafe(F.col("_value")), "left")
     result = result or column
     kept = [F.col("_code").alias(c) if c == result else F.col(f"`{c}`") for c in df.columns]
     extra = [] if result in df.columns else [F.col("_code").alias(result)]

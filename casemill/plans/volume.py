@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
@@ -15,7 +16,7 @@ from ..operators.filters import equal_to, in_period
 from ..operators.metrics import daily_counts
 from ..operators.positions import category_codes, encode
 from ..operators.shape import drop_if_present
-from ..session import cut
+from ..session import cut, temporary_cuts
 from ..sources.sinks import write_report
 
 # Splits, windows and the columns of the training matrix.
@@ -47,8 +48,11 @@ def daily_volume(indicators: DataFrame) -> DataFrame:
 
 
 def volume_of_period(daily: DataFrame, start: str, end: str) -> DataFrame:
-    """M1: the days of a period, numbered from its first day."""
-    return add_day_number(in_period(daily, "fecha_creacion", start, end))
+    """M1: the days of a period, numbered from its first day.
+
+    One row per day: it is cut, so that finding the first day doesn't count all cases again.
+    """
+    return add_day_number(cut(in_period(daily, "fecha_creacion", start, end)))
 
 
 def training_rows(
@@ -70,8 +74,9 @@ def training_matrix(rows: DataFrame) -> DataFrame:
     The row number only has to be unique, so it costs no shuffle.
     """
     rows = rows.withColumn("indice", F.monotonically_increasing_id())
-    codes = cut(category_codes(rows, [*CODED, "fecha_solucion"]), ("column_name",))
-    rows = encode(rows, codes, "fecha_solucion", "fechaCaso")
+    times = cut(category_codes(rows, ["fecha_solucion"]))
+    rows = encode(rows, times, "fecha_solucion", "fechaCaso")
+    codes = cut(category_codes(rows, CODED), ("column_name",))
     for column in CODED:
         rows = encode(rows, codes, column)
     return drop_if_present(rows, MATRIX_DROPPED).select(*MATRIX)
@@ -138,8 +143,14 @@ def _powers(df: DataFrame, x: str, degree: int) -> DataFrame:
     return expand.transform(assembled).drop("_x")
 
 
+def usable(df: DataFrame, features=FEATURES, label: str = "CUMPLE_ANS") -> DataFrame:
+    """M8: the rows a model can read: no missing number and a label. Codes are never missing."""
+    return df.dropna(subset=[*features, label])
+
+
 def logistic_fit(train: DataFrame, n: int, features=FEATURES, label: str = "CUMPLE_ANS"):
-    """M8: L2 with C = 1, so the weight per row is 1 / n; no standardised penalty."""
+    """M8: L2 with C = 1 over the ``n`` usable rows, so the weight per row is 1 / n; no
+    standardised penalty."""
     model = LogisticRegression(
         featuresCol="features",
         labelCol=label,
@@ -153,7 +164,7 @@ def logistic_fit(train: DataFrame, n: int, features=FEATURES, label: str = "CUMP
 
 def assemble(df: DataFrame, features=FEATURES) -> DataFrame:
     assembler = VectorAssembler(
-        inputCols=list(features), outputCol="features", handleInvalid="skip"
+        inputCols=list(features), outputCol="features", handleInvalid="error"
     )
     return assembler.transform(df)
 
@@ -166,6 +177,11 @@ class Scores:
     polynomial_r2: float | None = None
     polynomial_rmse: float | None = None
     logistic_accuracy: float | None = None
+    logistic_test_rows: int = 0
+    # rows of the matrix that lack a number and so were neither fitted nor tested
+    logistic_unusable: int = 0
+    # rows of each data set that was written
+    rows: Mapping[str, int] = field(default_factory=dict)
 
 
 def train_regressions(period: DataFrame, key: str = "fecha_creacion") -> Scores:
@@ -183,29 +199,61 @@ def train_regressions(period: DataFrame, key: str = "fecha_creacion") -> Scores:
     return Scores(linear_r2=linear.r2, polynomial_r2=poly.r2, polynomial_rmse=poly.rmse)
 
 
-def train_logistic(matrix: DataFrame) -> float | None:
-    """Accuracy on the test rows."""
+def train_logistic(matrix: DataFrame) -> Scores:
+    """Accuracy on the usable test rows, and how many rows were not usable.
+
+    A matrix with one class only is answered with that class, without a fit."""
+    whole = usable(matrix)
     key = F.concat_ws("|", "origen_caso", "numero_caso")
-    train, test = split(matrix, key, LOGISTIC_TRAIN, LOGISTIC_SEED)
-    n = train.count()
-    if n + test.count() < MIN_ROWS:
-        return None
-    scored = logistic_fit(train, n).transform(assemble(test))
-    return accuracy(scored, "CUMPLE_ANS").first().accuracy
+    train, test = split(whole, key, LOGISTIC_TRAIN, LOGISTIC_SEED)
+    in_train = split_bucket(key, LOGISTIC_SEED) < LOGISTIC_TRAIN
+    size = whole.agg(
+        F.count_if(in_train).alias("train"),
+        F.count_if(~in_train).alias("test"),
+        F.min(F.when(in_train, F.col("CUMPLE_ANS"))).alias("low"),
+        F.max(F.when(in_train, F.col("CUMPLE_ANS"))).alias("high"),
+    ).first()
+    left_out = matrix.count() - size.train - size.test
+    if size.train + size.test < MIN_ROWS or not size.train:
+        return Scores(logistic_unusable=left_out)
+    if size.low == size.high:
+        scored = test.withColumn("prediction", F.lit(size.low).cast("double"))
+    else:
+        scored = logistic_fit(train, size.train).transform(assemble(test))
+    reached = accuracy(scored, "CUMPLE_ANS").first()
+    return Scores(
+        logistic_accuracy=reached.accuracy,
+        logistic_test_rows=reached.test_rows,
+        logistic_unusable=left_out,
+    )
 
 
-def run_models(indicators: DataFrame, folder: str) -> Scores:
+def run_models(
+    indicators: DataFrame,
+    folder: str,
+    training: tuple[str, str] = TRAINING_PERIOD,
+    following: tuple[str, str] = NEXT_PERIOD,
+    case_type: str = "Incidente",
+    project: str = "Soporte",
+) -> Scores:
     """Write both periods and the matrix; the models train on what was written."""
     spark = indicators.sparkSession
-    daily = cut(daily_volume(indicators))
-    paths = {}
-    for name, period in (("period_training", TRAINING_PERIOD), ("period_next", NEXT_PERIOD)):
-        paths[name] = write_report(volume_of_period(daily, *period), f"{folder}/{name}")
-    matrix_path = write_report(training_matrix(training_rows(indicators)), f"{folder}/matrix")
-    regressions = train_regressions(spark.read.parquet(paths["period_training"]))
-    return Scores(
-        linear_r2=regressions.linear_r2,
-        polynomial_r2=regressions.polynomial_r2,
-        polynomial_rmse=regressions.polynomial_rmse,
-        logistic_accuracy=train_logistic(spark.read.parquet(matrix_path)),
-    )
+    with temporary_cuts(spark):
+        daily = cut(daily_volume(indicators))
+        chosen = training_rows(indicators, *training, case_type, project)
+        written = {
+            name: spark.read.parquet(write_report(df, f"{folder}/{name}"))
+            for name, df in (
+                ("period_training", volume_of_period(daily, *training)),
+                ("period_next", volume_of_period(daily, *following)),
+                ("matrix", training_matrix(chosen)),
+            )
+        }
+        regressions = train_regressions(written["period_training"])
+        return replace(
+            train_logistic(written["matrix"]),
+            linear_r2=regressions.linear_r2,
+            polynomial_r2=regressions.polynomial_r2,
+            polynomial_rmse=regressions.polynomial_rmse,
+            rows={name: df.count() for name, df in written.items()},
+        )

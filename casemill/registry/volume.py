@@ -14,11 +14,12 @@ PERIOD = ("1997-01-01", "1997-12-31")
 # cases of the training table: every order one incident or request of a project
 INDICATORS = """
 SELECT o_orderkey AS numero_caso, CASE WHEN o_orderstatus = 'F' THEN 'Requerimiento' ELSE 'Incidente' END AS tipo_de_caso,
-       'User ' || CAST(o_custkey AS STRING) AS usuariofinal, 'Owner ' || CAST(o_custkey % 40 AS STRING) AS responsable,
-       o_orderpriority AS servicio, o_orderdate AS fecha_creacion, o_orderdate AS fecha_atencion,
+       'User ' || CAST(o_custkey AS STRING) AS usuariofinal,
+       CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE 'Owner ' || CAST(o_custkey % 40 AS STRING) END AS responsable,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS servicio, o_orderdate AS fecha_creacion, o_orderdate AS fecha_atencion,
        CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL '5' HOUR ELSE o_orderdate END AS fecha_solucion,
        CAST(floor(o_totalprice) AS BIGINT) AS tiempoTranscurrido,
-       CASE WHEN o_totalprice > 250000 THEN 'NO' ELSE 'SI' END AS CUMPLE_ANS,
+       CASE WHEN o_totalprice > 250000 THEN 'NO' WHEN o_totalprice < 20000 THEN NULL ELSE 'SI' END AS CUMPLE_ANS,
        CASE WHEN o_custkey % 3 = 0 THEN 'Helpdesk' ELSE 'Inventory' END AS origen_caso,
        CASE WHEN o_orderkey % 4 = 0 THEN 'Mesa de Servicios' ELSE 'Soporte' END AS proyecto,
        'r' AS username_resp, 'u' AS username_ufinal
@@ -42,23 +43,28 @@ def _(spark, sf):
     return _series(spark, sf)
 
 
+# categories with missing values
+SOME_BRANDS = "SELECT CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_brand END AS p_brand, p_name FROM {part}"
+SOME_TIMES = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts END AS ts FROM {events}"
+
+
 @query(
     "m2_category_codes",
-    """SELECT 'p_brand' AS column_name, p_brand AS value, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INT) AS code
-       FROM (SELECT DISTINCT p_brand FROM {part}) b
-       UNION ALL SELECT 'p_name', p_name, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INT)
-       FROM (SELECT DISTINCT p_name FROM {part}) n""",
+    f"""SELECT 'p_brand' AS column_name, p_brand AS value, dense_rank() OVER (ORDER BY p_brand NULLS LAST) - 1 AS code
+       FROM (SELECT DISTINCT p_brand FROM ({SOME_BRANDS}) x) b
+       UNION ALL SELECT 'p_name', p_name, dense_rank() OVER (ORDER BY p_name NULLS LAST) - 1
+       FROM (SELECT DISTINCT p_name FROM ({SOME_BRANDS}) y) n""",
 )
 def _(spark, sf):
-    return positions.category_codes(table(spark, sf, "part"), ["p_brand", "p_name"])
+    return positions.category_codes(stand_in(spark, sf, SOME_BRANDS), ["p_brand", "p_name"])
 
 
 @query(
     "m2_encoded_times",
-    "SELECT event_id, CAST(dense_rank() OVER (ORDER BY ts) - 1 AS INT) AS code FROM {events}",
+    f"SELECT event_id, dense_rank() OVER (ORDER BY ts NULLS LAST) - 1 AS code FROM ({SOME_TIMES}) e",
 )
 def _(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "ts")
+    events = stand_in(spark, sf, SOME_TIMES)
     codes = positions.category_codes(events, ["ts"])
     return positions.encode(events, codes, "ts", "code").drop("ts")
 
@@ -75,11 +81,11 @@ def _(spark, sf):
 CHOSEN = f"""SELECT * FROM ({INDICATORS}) i WHERE tipo_de_caso = 'Incidente' AND proyecto = 'Soporte'
   AND fecha_solucion BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'"""
 MATRIX = f"""SELECT numero_caso,
-  CAST(dense_rank() OVER (ORDER BY responsable) - 1 AS INT) AS responsable,
-  CAST(dense_rank() OVER (ORDER BY servicio) - 1 AS INT) AS servicio, tiempoTranscurrido AS "tiempoTranscurrido",
-  CAST(dense_rank() OVER (ORDER BY CUMPLE_ANS) - 1 AS INT) AS "CUMPLE_ANS",
-  CAST(dense_rank() OVER (ORDER BY origen_caso) - 1 AS INT) AS origen_caso,
-  CAST(dense_rank() OVER (ORDER BY fecha_solucion) - 1 AS INT) AS "fechaCaso" FROM ({CHOSEN}) c"""
+  dense_rank() OVER (ORDER BY responsable NULLS LAST) - 1 AS responsable,
+  dense_rank() OVER (ORDER BY servicio NULLS LAST) - 1 AS servicio, tiempoTranscurrido AS "tiempoTranscurrido",
+  dense_rank() OVER (ORDER BY CUMPLE_ANS NULLS LAST) - 1 AS "CUMPLE_ANS",
+  dense_rank() OVER (ORDER BY origen_caso NULLS LAST) - 1 AS origen_caso,
+  dense_rank() OVER (ORDER BY fecha_solucion NULLS LAST) - 1 AS "fechaCaso" FROM ({CHOSEN}) c"""
 
 
 def _matrix(spark, sf):
@@ -172,14 +178,23 @@ def _(spark, sf):
     return volume.accuracy(labels, "quality")
 
 
-@query("m8_logistic_regression")
+# labels that follow from the origin alone, so every test row must be right; some rows lack a number
+SEPARABLE = INDICATORS.replace("o_totalprice > 250000", "o_custkey % 3 = 0").replace("WHEN o_totalprice < 20000 THEN NULL ", "").replace(
+    "CAST(floor(o_totalprice) AS BIGINT)", "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(floor(o_totalprice) AS BIGINT) END"
+)
+ORIGIN_KEY = "(CASE WHEN origen_caso = 'Helpdesk' THEN '0|' ELSE '1|' END || CAST(numero_caso AS VARCHAR))"
+LABELLED = f"""SELECT * FROM ({SEPARABLE}) i WHERE tipo_de_caso = 'Incidente' AND proyecto = 'Soporte'
+  AND fecha_solucion BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'"""
+TESTED = f"""SELECT count(*) FILTER (tiempoTranscurrido IS NOT NULL AND {sql_bucket(ORIGIN_KEY, 42)} >= 60) AS test_rows,
+  count(*) FILTER (tiempoTranscurrido IS NULL) AS unusable, count(*) AS matrix_rows FROM ({LABELLED}) l"""
+
+
+@query("m8_logistic_regression", f"SELECT CAST(1 AS DOUBLE) AS accuracy, test_rows, unusable FROM ({TESTED}) t")
 def _(spark, sf):
-    train, test = volume.split(
-        cut(_matrix(spark, sf)), F.concat_ws("|", "origen_caso", "numero_caso"),
-        volume.LOGISTIC_TRAIN, volume.LOGISTIC_SEED,
-    )
-    model = volume.logistic_fit(train, train.count())
-    return volume.accuracy(model.transform(volume.assemble(test)), "CUMPLE_ANS")
+    rows = volume.training_rows(stand_in(spark, sf, SEPARABLE), *PERIOD)
+    scores = volume.train_logistic(cut(volume.training_matrix(rows)))
+    row = [scores.logistic_accuracy, scores.logistic_test_rows, scores.logistic_unusable]
+    return spark.createDataFrame([row], "accuracy double, test_rows bigint, unusable bigint")
 
 
 @query(
@@ -196,16 +211,31 @@ def _(spark, sf):
     )
 
 
-# the jobs' own windows are 2025 and 2026: the same cases, moved there
-RECENT = INDICATORS.replace("o_orderdate", "shifted").replace(
-    "{orders}", "(SELECT *, o_orderdate + INTERVAL '28' YEAR AS shifted FROM {orders}) o"
-)
+FOLLOWING = ("1998-01-01", "1998-12-31")
 
 
-@query("e3_models")
+@query(
+    "e3_models",
+    f"""WITH {CURVE},
+      l AS (SELECT regr_slope("cantidadCasos", fecha) AS b, regr_intercept("cantidadCasos", fecha) AS a FROM ({TRAIN}) t),
+      straight AS (SELECT "cantidadCasos" AS y, a + b * fecha AS p FROM ({TEST}) t, l)
+    SELECT (SELECT round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) FROM straight) AS linear_r2,
+      (SELECT round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) FROM scored) AS polynomial_r2,
+      (SELECT round(sqrt(avg((y - p) * (y - p))), 6) FROM scored) AS polynomial_rmse,
+      CAST(1 AS DOUBLE) AS logistic_accuracy, test_rows AS logistic_test_rows, unusable AS logistic_unusable, matrix_rows,
+      (SELECT count(*) FROM ({SERIES}) s) AS period_training,
+      (SELECT count(*) FROM ({DAILY}) d WHERE fecha_creacion BETWEEN TIMESTAMP '{FOLLOWING[0]}' AND TIMESTAMP '{FOLLOWING[1]}') AS period_next
+    FROM ({TESTED}) t""",
+)
 def _(spark, sf):
-    scores = volume.run_models(stand_in(spark, sf, RECENT), scratch_path(spark, "models"))
-    row = [scores.linear_r2, scores.polynomial_r2, scores.polynomial_rmse, scores.logistic_accuracy]
+    found = volume.run_models(stand_in(spark, sf, SEPARABLE), scratch_path(spark, "models"), PERIOD, FOLLOWING)
+    row = [
+        *[round(x, 6) for x in (found.linear_r2, found.polynomial_r2, found.polynomial_rmse)],
+        found.logistic_accuracy, found.logistic_test_rows, found.logistic_unusable,
+        found.rows["matrix"], found.rows["period_training"], found.rows["period_next"],
+    ]
     return spark.createDataFrame(
-        [row], "linear_r2 double, polynomial_r2 double, polynomial_rmse double, logistic_accuracy double"
+        [row],
+        "linear_r2 double, polynomial_r2 double, polynomial_rmse double, logistic_accuracy double, "
+        "logistic_test_rows bigint, logistic_unusable bigint, matrix_rows bigint, period_training bigint, period_next bigint",
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,10 @@ SQL_SETTINGS = {
     # operator in compiled pieces instead of interpreted as one
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# a local session's own scratch folder, where spark.checkpoint.dir is not set
+FALLBACK = "spark.casemill.scratchDir"
+
+_open_scopes: list[list[str]] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -50,19 +56,41 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own: on a cluster a machine-local
     folder would vanish with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FALLBACK, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", fallback)
+    fallback = tempfile.mkdtemp(prefix="run-")
+    spark.conf.set(FALLBACK, fallback)
     return fallback
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/casemill-{uuid.uuid4().hex}/{name}"
+    """A fresh path under the shared folder; inside ``temporary_cuts`` it goes when that ends."""
+    path = f"{shared_dir(spark)}/casemill-{uuid.uuid4().hex}"
+    for made in _open_scopes:
+        made.append(path)
+    return f"{path}/{name}"
+
+
+@contextmanager
+def temporary_cuts(spark: SparkSession) -> Iterator[None]:
+    """Delete the cuts made inside when the work that reads them is over, also after an error.
+
+    Only for work that hands on nothing lazy: a result must be written elsewhere by then.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        configuration = spark._jsc.hadoopConfiguration()
+        for path in made:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(configuration).delete(where, True)
 
 
 def cut(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
-from ..operators.quality import check_fingerprint
+from ..operators.quality import SchemaError, check_fingerprint
 
 # Cell texts that mean "missing" in the exports.
 NA_TOKENS = (
@@ -53,11 +53,36 @@ def distinct_names(names: Sequence[str]) -> list[str]:
     return out
 
 
+def file_order() -> Column:
+    """A row's place: file by path, split by its start, row within the split. Spark itself deals
+    large files out first, so a row number alone doesn't follow the files' order."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """The column names of the file, made distinct. Reads one row."""
-    first = spark.read.text(path).first()
-    line = first.value.lstrip("\ufeff") if first else ""
-    return distinct_names(next(csv.reader([line], delimiter=sep), []))
+    """The column names of the file, or of all files of a folder, made distinct.
+
+    Cells are read by place, so files whose headers differ are refused. The headers are found by
+    one scan that keeps a line per file.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+    heads = (
+        lines.where("start = 0").groupBy("path").agg(F.min_by("value", "row").alias("line"))
+        .groupBy(F.ltrim("line", F.lit("\ufeff")).alias("line")).agg(F.min("path").alias("path"))
+        .orderBy("path").limit(2).collect()
+    )
+    if len(heads) > 1:
+        raise SchemaError(f"{heads[0].path} and {heads[1].path} have different headers")
+    return distinct_names(next(csv.reader([heads[0].line if heads else ""], delimiter=sep), []))
 
 
 def read_csv(
@@ -90,7 +115,7 @@ def read_csv(
         F.when(~F.col(f"`{n}`").isin(*NA_TOKENS), F.col(f"`{n}`")).alias(n) for n in names
     ]
     if row_order:
-        cells.append(F.monotonically_increasing_id().alias("_row"))
+        cells.append(file_order().alias("_row"))
     return df.select(*cells)
 
 
@@ -116,10 +141,14 @@ def read_extended_exports(
 
 
 def read_helpdesk(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """S3: semicolons, quoted cells with line breaks, a repeated header name."""
-    return check_fingerprint(read_csv(spark, path, ";", columns), HELPDESK_COLUMNS, path)
+    """S3: semicolons, quoted cells with line breaks, a repeated header name.
+
+    With ``multi_line=False`` the files can be split; cells must not hold line breaks then.
+    """
+    df = read_csv(spark, path, ";", columns, multi_line)
+    return check_fingerprint(df, HELPDESK_COLUMNS, path)
 
 
 def read_requests(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

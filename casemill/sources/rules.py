@@ -1,7 +1,7 @@
 """Rule tables: the service catalogue, project rules and identity overrides.
 
-Rules are small hand-kept configuration. They are checked and reduced to one row per key; the
-last entry wins.
+Entries come as a list the driver holds or as a DataFrame of any size. Both are checked and reduced
+to one row per key; the last entry wins, in list order or by the column ``_row``.
 """
 
 from __future__ import annotations
@@ -9,34 +9,27 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.identity import OverrideRules, case_key
-from ..operators.lookups import RuleTable
+from ..operators.lookups import RuleFrame, Rules, RuleTable, last_wins
 from ..operators.quality import RuleError
+from .files import file_order
 
-# More entries than this are no hand-kept rules; keep them as a dictionary table instead.
-MAX_RULES = 20_000
 TARGETS = ("responsable", "usuariofinal")
+Entries = Iterable[Mapping] | DataFrame
 
 
-def read_rule_entries(spark: SparkSession, path: str, fmt: str = "json") -> list[dict]:
-    """Entries of a JSON-lines or CSV rule file in file order, refused beyond ``MAX_RULES``."""
+def read_rule_entries(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Entries of a JSON-lines or CSV rule file or folder; ``_row`` is their order."""
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    rows = reader.format(fmt).load(path).limit(MAX_RULES + 1).collect()
-    return [r.asDict() for r in _bounded(rows, path)]
-
-
-def _bounded(entries: Iterable, section: str) -> list:
-    entries = list(entries)
-    if len(entries) > MAX_RULES:
-        raise RuleError(f"{section}: more than {MAX_RULES} rules")
-    return entries
+    return reader.format(fmt).load(path).select("*", file_order().alias("_row"))
 
 
 def _need(entries: Iterable[Mapping], section: str, *fields: str) -> list[dict]:
     checked = []
-    for i, entry in enumerate(_bounded(entries, section)):
+    for i, entry in enumerate(entries):
         missing = [f for f in fields if entry.get(f) is None]
         if missing:
             raise RuleError(f"{section}[{i}]: missing {missing}")
@@ -44,19 +37,40 @@ def _need(entries: Iterable[Mapping], section: str, *fields: str) -> list[dict]:
     return checked
 
 
-def _table(entries: Iterable[Mapping], key: str, *values: str) -> RuleTable:
+def _needed(entries: DataFrame, section: str, *fields: str) -> DataFrame:
+    """The same check for a table: one pass, only counts reach the driver."""
+    absent = [f for f in fields if f not in entries.columns]
+    if absent:
+        raise RuleError(f"{section}: missing {absent}")
+    empty = entries.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in fields]).first()
+    found = {f: empty[f] for f in fields if empty[f]}
+    if found:
+        raise RuleError(f"{section}: rows without {found}")
+    return entries
+
+
+def _table(entries: Iterable[Mapping] | DataFrame, key: str, *values: str) -> Rules:
     """One row per key, the last one."""
+    if isinstance(entries, DataFrame):
+        rows = entries if "_row" in entries.columns else entries.withColumn("_row", F.lit(0))
+        texts = rows.select("_row", *[F.col(c).cast("string").alias(c) for c in (key, *values)])
+        return RuleFrame(key, values, last_wins(texts, key, ["_row"], values))
     return RuleTable(key, values, {str(e[key]): tuple(str(e[v]) for v in values) for e in entries})
 
 
-def replacement_rules(entries: Iterable[Mapping], section: str = "rules") -> RuleTable:
+def _checked(entries: Entries, section: str, *fields: str) -> list[dict] | DataFrame:
+    check = _needed if isinstance(entries, DataFrame) else _need
+    return check(entries, section, *fields)
+
+
+def replacement_rules(entries: Entries, section: str = "rules") -> Rules:
     """From -> to."""
-    return _table(_need(entries, section, "from", "to"), "from", "to")
+    return _table(_checked(entries, section, "from", "to"), "from", "to")
 
 
-def project_rules(entries: Iterable[Mapping]) -> RuleTable:
+def project_rules(entries: Entries) -> Rules:
     """match_servicio -> proyecto."""
-    entries = _need(entries, "project rules", "match_servicio", "proyecto")
+    entries = _checked(entries, "project rules", "match_servicio", "proyecto")
     return _table(entries, "match_servicio", "proyecto")
 
 
@@ -66,7 +80,8 @@ def pending_entries(entries: Iterable[Mapping]) -> list[str]:
 
 
 def override_rules(sections: Mapping[str, Iterable[Mapping]]) -> OverrideRules:
-    """The six sections under the names they have in the rule file.
+    """The six sections under the names they have in the rule file, as hand-kept entries;
+    ``override_tables`` takes tables of any size.
 
     Keys of the two match sections are trimmed and lowercased. A rule by case number may name
     an ``origen_caso``; without one it holds for all sources.
@@ -120,19 +135,41 @@ def override_rules(sections: Mapping[str, Iterable[Mapping]]) -> OverrideRules:
     )
 
 
+def override_tables(
+    special_values: DataFrame | None = None,
+    aliases: DataFrame | None = None,
+    by_owner: DataFrame | None = None,
+    by_user: DataFrame | None = None,
+) -> OverrideRules:
+    """The sections that may grow with the data, as tables; keys as in ``override_rules``."""
+
+    def table(df, section, key, *values):
+        return None if df is None else _table(_needed(df, section, key, *values), key, *values)
+
+    def matched(df):
+        return None if df is None else df.withColumn("match", F.lower(F.trim("match")))
+
+    return OverrideRules(
+        special_values=table(special_values, "patrones_especiales", "match", "username_ufinal"),
+        aliases=table(aliases, "por_username_alias", "from", "to"),
+        by_owner=table(matched(by_owner), "por_responsable", "match", "responsable_canonico", "username_resp"),
+        by_user=table(matched(by_user), "por_usuariofinal", "match", "usuariofinal_canonico", "username_ufinal"),
+    )
+
+
 @dataclass(frozen=True)
 class ServiceCatalogue:
     """The general catalogue, the suite's own, and the project rules."""
 
-    general: RuleTable
-    suite: RuleTable
-    projects: RuleTable
+    general: Rules
+    suite: Rules
+    projects: Rules
 
 
 def service_catalogue(
-    general: Iterable[Mapping] = (),
-    suite: Iterable[Mapping] = (),
-    projects: Iterable[Mapping] = (),
+    general: Entries = (),
+    suite: Entries = (),
+    projects: Entries = (),
 ) -> ServiceCatalogue:
     return ServiceCatalogue(
         general=replacement_rules(general, "general catalogue"),

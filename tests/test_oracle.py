@@ -11,7 +11,7 @@ from casemill.registry import all_queries, all_sql  # noqa: E402
 from tools.check_oracle import check, connect  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"m8_logistic_regression", "e3_models"}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="session")

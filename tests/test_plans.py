@@ -56,10 +56,11 @@ def test_split_is_stable_and_near_its_share(spark):
 def test_run_models(spark):
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     from casemill.registry.base import stand_in
-    from casemill.registry.volume import RECENT
+    from casemill.registry.volume import INDICATORS as TICKETS
 
-    scores = volume.run_models(stand_in(spark, SF, RECENT), folder)
+    scores = volume.run_models(stand_in(spark, SF, TICKETS), folder, ("1996-01-01", "1997-12-31"), ("1998-01-01", "1998-12-31"))
     assert 0 <= scores.logistic_accuracy <= 1 and scores.polynomial_rmse > 0
+    assert scores.rows["matrix"] > scores.logistic_test_rows > 0 and scores.logistic_unusable == 0
     assert spark.read.parquet(f"{folder}/matrix").columns == list(volume.MATRIX)
     written = spark.read.parquet(f"{folder}/matrix")
     assert written.select("indice").distinct().count() == written.count()

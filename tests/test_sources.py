@@ -2,7 +2,8 @@ import tempfile
 
 import pytest
 
-from casemill.operators.quality import SchemaError
+from casemill.operators import lookups
+from casemill.operators.quality import RuleError, SchemaError
 from casemill.sources import files, rules, sinks, tables
 
 
@@ -58,9 +59,36 @@ def test_repeated_headers():
 def test_rule_files(spark, folder):
     path = write(folder, "r.json", '{"from":"a","to":"b"}\n{"from":"a","to":"c"}\n')
     table = rules.replacement_rules(rules.read_rule_entries(spark, path))
-    assert table.rows == {"a": ("c",)}
+    assert [tuple(r) for r in table.table.collect()] == [("a", "c")]
     csv = write(folder, "r.csv", "match_servicio,proyecto\nDEV,Software\n")
-    assert rules.project_rules(rules.read_rule_entries(spark, csv, "csv")).rows == {"DEV": ("Software",)}
+    projects = rules.project_rules(rules.read_rule_entries(spark, csv, "csv"))
+    assert [tuple(r) for r in projects.table.collect()] == [("DEV", "Software")]
+    with pytest.raises(RuleError, match="rows without"):
+        rules.replacement_rules(rules.read_rule_entries(spark, write(folder, "n.json", '{"from":"a","to":null}\n{"from":"b","to":"c"}\n')))
+
+
+def test_files_of_a_folder_need_one_header(spark, folder):
+    write(folder, "1.csv", "a,b\n1,2\n")
+    assert files.read_csv(spark, folder).columns == ["a", "b"]
+    write(folder, "2.csv", "b,a\n9,8\n")
+    for multi_line in (True, False):
+        with pytest.raises(SchemaError, match="different headers"):
+            files.read_csv(spark, folder, multi_line=multi_line)
+
+
+def test_last_row_of_the_last_file_wins(spark, folder):
+    write(folder, "part-0.csv", "username_ufinal,usuariofinal\nu1,old\n")
+    write(folder, "part-1.csv", "username_ufinal,usuariofinal\n" + "".join(f"x{i},N\n" for i in range(400)) + "u1,new\n")
+    write(folder, "part-2.csv", "username_ufinal,usuariofinal\nu2,last\n")
+    names = lookups.forward_dictionary(files.read_user_dictionary(spark, folder), "username_ufinal", "usuariofinal")
+    got = {r.key: r.value for r in names.where("key IN ('u1', 'u2')").collect()}
+    assert got == {"u1": "new", "u2": "last"}
+
+
+def test_helpdesk_can_be_split(spark, folder):
+    head = "id;TITULO;SOLICITANTE;ESTADO;FECHA_APERTURA\n"
+    path = write(folder, "h.csv", head + "".join(f"{i};t;s;e;2026-01-01\n" for i in range(3000)))
+    assert files.read_helpdesk(spark, path, multi_line=False).count() == 3000
 
 
 def test_report_sink(rows, spark, folder):
