@@ -256,11 +256,25 @@ def column_summary(divs: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
+# beyond this Spark's own limit per group isn't planned
+SMALL_K, RANK_PARTS = 1000, 32
+
+
 def top_patterns(divs: DataFrame, k: int = MAX_PATTERNS) -> DataFrame:
-    """Q11: the ``k`` most frequent patterns of each column; equal counts in value order."""
-    order = Window.partitionBy("column_name").orderBy(
-        F.desc("n"), "left_value", "right_value", "class"
-    )
+    """Q11: the ``k`` most frequent patterns of each column; equal counts in value order.
+
+    Spark thins out each partition before the shuffle for small ``k`` only. For a large one a
+    column's patterns are thinned out in parts first, so that its task gets ``RANK_PARTS * k`` at
+    most.
+    """
+    by = [F.desc("n"), "left_value", "right_value", "class"]
+    if k > SMALL_K:
+        part = F.pmod(F.xxhash64("left_value", "right_value", "class"), F.lit(RANK_PARTS))
+        inner = Window.partitionBy("column_name", "_part").orderBy(*by)
+        parted = divs.withColumn("_part", part)
+        divs = parted.withColumn("_rank", F.row_number().over(inner)).where(F.col("_rank") <= k)
+        divs = divs.drop("_part", "_rank")
+    order = Window.partitionBy("column_name").orderBy(*by)
     return divs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -338,7 +352,8 @@ def compare_tables(
                 f"{unmatched.only_right} only right"
             )
         else:
-            divs = divergences(pair_rows(differing, keys), left, right, atol, ignore_case)
+            # summary, patterns and verdict all read them: evaluated once
+            divs = cut(divergences(pair_rows(differing, keys), left, right, atol, ignore_case))
     return Comparison(
         compatible=not notes,
         notes=tuple(notes),

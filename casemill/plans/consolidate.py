@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_elapsed, parse_date
@@ -141,11 +141,27 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def prepare_inventory(
-    df: DataFrame, identity: Identity, settings: Settings, outcome: str | None = None
+    df: DataFrame, identity: Identity, settings: Settings, seen: Observation | None = None
 ) -> DataFrame:
-    """Ids to user names, missing names, overrides; then names come from the dictionaries alone."""
+    """Ids to user names, missing names, overrides; then names come from the dictionaries alone.
+
+    ``seen`` gets the counts of A5 while the rows go by: candidates, where they were found, and
+    names filled.
+    """
+    outcome = "_outcome" if seen is not None else None
     df = resolve_ids(_typed(df), identity.index, identity.directory, outcome=outcome)
-    df = apply_overrides(fill_display_names(df, identity.index), identity.overrides)
+    if seen is None:
+        df = fill_display_names(df, identity.index)
+    else:
+        names = [c for c in ("usuariofinal", "responsable") if c in df.columns]
+        df = df.withColumns({f"_no_{c}": F.col(c).isNull() for c in names})
+        df = fill_display_names(df, identity.index)
+        found = {v: F.count_if(F.col(outcome) == v) for v in ("master", "directory", "unresolved")}
+        filled = {f"{c}_filled": F.count_if(F.col(f"_no_{c}") & F.col(c).isNotNull()) for c in names}
+        counts = {"candidates": F.count(outcome), **found, **filled}
+        df = df.observe(seen, *[c.alias(n) for n, c in counts.items()])
+        df = df.drop(outcome, *[f"_no_{c}" for c in names])
+    df = apply_overrides(df, identity.overrides)
     df = overwrite(
         df, identity.owners_by_username, normalize_text(F.col("username_resp")), "key", "value",
         "responsable",
@@ -345,10 +361,14 @@ class Sources:
 
 
 def prepare_all(
-    sources: Sources, identity: Identity, catalogue: ServiceCatalogue, settings: Settings
+    sources: Sources,
+    identity: Identity,
+    catalogue: ServiceCatalogue,
+    settings: Settings,
+    seen: Observation | None = None,
 ) -> dict[str, DataFrame]:
     return {
-        "inventory": prepare_inventory(sources.inventory, identity, settings),
+        "inventory": prepare_inventory(sources.inventory, identity, settings, seen),
         "itsm": prepare_itsm(sources.itsm),
         "helpdesk": prepare_helpdesk(sources.helpdesk, identity, settings),
         "requests": prepare_requests(sources.requests, identity, settings),
@@ -373,16 +393,22 @@ def run_consolidation(
     settings: Settings | None = None,
     snapshots: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the table; the run metrics read the written columns they need."""
+    """Write the table. The identity counts are taken while it is written, the other run
+    metrics read the written columns they need."""
     settings = settings or Settings()
-    frames = prepare_all(sources, identity, catalogue, settings)
+    seen = Observation("identity")
+    frames = prepare_all(sources, identity, catalogue, settings, seen)
     result = finalise(frames, identity, catalogue, settings)
     write_report(result, output, INDICATORS)
     if snapshots:
         write_snapshots(frames, snapshots, "consolidation")
-    written = result.sparkSession.read.parquet(output)
+    spark = result.sparkSession
+    written = spark.read.parquet(output)
+    counts = {k: int(v) for k, v in seen.get.items()}
     return {
         "indicators": written,
+        "total_rows": written.agg(F.count(F.lit(1)).alias("total_rows")),
+        "identity": spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} bigint" for k in counts)),
         "rows_by_origin": rows_by(written),
         "distinct_services": distinct_values(written),
         "unresolved": unresolved_rows(written),

@@ -105,17 +105,29 @@ def task_report(
     return align(df, tasks_schema())
 
 
+@dataclass(frozen=True)
+class WrittenReport:
+    """Where a report stands and how many rows it has."""
+
+    path: str
+    rows: int
+
+
 def run_service_reports(
     exports: Mapping[str, DataFrame],
     tasks: DataFrame,
     catalogue: ServiceCatalogue,
     folder: str,
     settings: ReportSettings | None = None,
-) -> dict[str, str]:
-    """Write both reports."""
-    return {
+) -> dict[str, WrittenReport]:
+    """Write both reports; their rows are counted from the written files."""
+    spark = tasks.sparkSession
+    written = {
         "provisional": write_report(
             provisional_report(exports, catalogue, settings), f"{folder}/provisional", PROVISIONAL
         ),
         "tasks": write_report(task_report(tasks, catalogue, settings), f"{folder}/tasks", TASKS),
     }
+    return {
+        name: WrittenReport(path, spark.read.parquet(path).count()) for name, path in written.items()
+    }

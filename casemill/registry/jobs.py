@@ -151,8 +151,9 @@ SELECT CASE WHEN l_linenumber = 1 THEN 'T-' ELSE '' END || {CASE_ID} AS numero,
        's' || CAST(l_suppkey AS STRING) || '@corp' AS login_resp, 'u' || CAST(l_partkey AS STRING) AS login_autor,
        CAST(l_orderkey AS STRING) AS relacionado, 'n' AS nombre, CASE WHEN l_linenumber > 3 THEN 'Cerrada' END AS estado,
        CASE l_partkey % 3 WHEN 0 THEN '-5.5' WHEN 1 THEN '12' END AS real
-FROM {{lineitem}} WHERE l_returnflag = 'N' AND l_linestatus = 'F'
-"""
+FROM {{lineitem}}"""
+# the suite's tasks are one part of the lines, the task report has them all
+SUITE_TASKS = f"{TASKS} WHERE l_returnflag = 'N' AND l_linestatus = 'F'"
 
 CATALOGUE = {
     "general": [{"from": "click", "to": "Web"}, {"from": "Web", "to": "never"}, {"from": "1-URGENT", "to": "Top"},
@@ -187,7 +188,7 @@ def _suite_frames(spark, sf):
             ("incidentes", SUITE_HEADER), ("requerimientos", SUITE_HEADER), ("cambios", change_header),
         )
     }
-    return {**frames, "tareas": _headed(spark, sf, TASKS, TASK_HEADER)}
+    return {**frames, "tareas": _headed(spark, sf, SUITE_TASKS, TASK_HEADER)}
 
 
 def sources(spark, sf) -> plan.Sources:
@@ -292,7 +293,7 @@ SUITE_SQL = f"""SELECT {sql_integer(SUITE_NUMBER)} AS numero_caso, tipo AS tipo_
   UNION ALL SELECT {sql_integer('numero')}, 'Tarea', autor, responsable, {SUITE_SERVICE}, {sql_date('registro')}, {sql_date('inicio')},
     {sql_date('fin')}, {sql_whole(sql_minutes(sql_date('registro'), sql_date('fin')))},
     CASE WHEN {sql_number('"real"')} < 0 THEN 'SI' ELSE 'NO' END, 'Service Suite', 'Mesa de Servicios',
-    split_part(login_resp, '@', 1), split_part(login_autor, '@', 1) FROM ({TASKS}) t"""
+    split_part(login_resp, '@', 1), split_part(login_autor, '@', 1) FROM ({SUITE_TASKS}) t"""
 
 CTES = f"""WITH by_id AS ({sql_last(MASTER, 'cedula', LAST)}), by_username AS ({sql_last(MASTER, 'username', LAST_ID)}),
   user_by_name AS ({USER_BY_NAME}), owner_by_name AS ({OWNER_BY_NAME}),

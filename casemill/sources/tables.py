@@ -15,9 +15,15 @@ def jdbc_options(
     bounds: tuple[int, int] | None = None,
     partitions: int = 1,
     fetch_size: int = 10_000,
+    one_task: bool = False,
     **more: str,
 ) -> dict[str, str]:
-    """Reader options; with a numeric or date column and its bounds the table is read in slices."""
+    """Reader options; with a numeric or date column and its bounds the table is read in slices.
+
+    Without one the whole table goes through one task, which has to be asked for.
+    """
+    if partition_column is None and not one_task:
+        raise ValueError(f"{table}: name a column to slice by, or set one_task")
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **more}
     if partition_column is not None:
         if bounds is None or partitions < 2:

@@ -76,6 +76,9 @@ def test_run_consolidation(spark):
     assert out["indicators"].columns == list(INDICATORS)
     assert sum(r["rows"] for r in out["rows_by_origin"].collect()) == total > 0
     assert out["distinct_services"].first()[0] > 5
+    assert out["total_rows"].first()[0] == total
+    seen = out["identity"].first()
+    assert seen.candidates == seen.master + seen.directory + seen.unresolved > 0 and seen.responsable_filled > 0
     assert spark.read.parquet(f"{folder}/stages/consolidation_helpdesk.parquet").count() > 0
 
 

@@ -107,7 +107,9 @@ def test_snapshot_failure_only_warns(rows, folder):
 
 
 def test_jdbc_options():
-    plain = tables.jdbc_options("jdbc:x", "cases")
+    with pytest.raises(ValueError, match="one_task"):
+        tables.jdbc_options("jdbc:x", "cases")
+    plain = tables.jdbc_options("jdbc:x", "cases", one_task=True)
     assert plain["dbtable"] == "cases" and "numPartitions" not in plain
     sliced = tables.jdbc_options("jdbc:x", "cases", "id", (0, 100), 8)
     assert (sliced["partitionColumn"], sliced["upperBound"], sliced["numPartitions"]) == ("id", "100", "8")
