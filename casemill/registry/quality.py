@@ -137,21 +137,44 @@ def _copies(spark, sf):
     return stand_in(spark, sf, LEFT_COPIES), stand_in(spark, sf, RIGHT_COPIES)
 
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+SOME_PRICES = "SELECT * FROM {orders} WHERE o_totalprice > 150000"
+
+
+def sql_cells(columns, source):
+    return " UNION ALL ".join(f"SELECT '{name}' AS column_name, count({c}) AS cells FROM {source}" for c, name in columns)
+
+
 @query(
     "q5_so2_structure",
-    """WITH a AS (SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+    f"""WITH a AS (SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
          ELSE lower(column_type) END AS t FROM (DESCRIBE orders)),
        b AS (SELECT CASE column_name WHEN 'o_orderpriority' THEN 'prioridad' ELSE column_name END AS column_name,
          CASE column_name WHEN 'o_totalprice' THEN 'bigint' ELSE t END AS t FROM a)
        SELECT coalesce(a.column_name, b.column_name) AS column_name, a.t AS left_type, b.t AS right_type,
-         a.t IS NOT DISTINCT FROM b.t AS same_type FROM a FULL JOIN b ON a.column_name = b.column_name""",
+         a.t IS NOT DISTINCT FROM b.t AS same_type, l.cells AS left_cells, r.cells AS right_cells,
+         CASE WHEN b.t IS NULL THEN 'left' WHEN a.t IS NULL THEN 'right' END AS only_in
+       FROM a FULL JOIN b ON a.column_name = b.column_name
+       LEFT JOIN ({sql_cells([(c, c) for c in ORDER_COLUMNS], '{orders}')}) l ON l.column_name = a.column_name
+       LEFT JOIN ({sql_cells([(c, 'prioridad' if c == 'o_orderpriority' else c) for c in ORDER_COLUMNS], f'({SOME_PRICES}) p')}) r
+         ON r.column_name = b.column_name""",
 )
 def _(spark, sf):
+    """Types side by side, filled cells of each side, and the columns only one side has."""
     left = table(spark, sf, "orders")
-    right = left.withColumnRenamed("o_orderpriority", "prioridad").withColumn(
+    right = stand_in(spark, sf, SOME_PRICES).withColumnRenamed("o_orderpriority", "prioridad").withColumn(
         "o_totalprice", F.col("o_totalprice").cast("bigint")
     )
-    return compare.structure(left, right)
+
+    def cells(df, result):
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias(result)) for c in df.columns]))
+        return counts.select(each.alias("c")).select("c.*")
+
+    only_left, only_right = compare.schema_diff(left, right)
+    only = F.when(F.col("column_name").isin(only_left), "left").when(F.col("column_name").isin(only_right), "right")
+    both = compare.structure(left, right).join(cells(left, "left_cells"), "column_name", "left")
+    return both.join(cells(right, "right_cells"), "column_name", "left").withColumn("only_in", only)
 
 
 @query(
