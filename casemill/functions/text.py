@@ -21,10 +21,18 @@ SPELLED_OUT = {
 }
 
 
+# Latin letters with accents, blanks, raised and lowered signs, letter-like signs and number forms,
+# ligatures, full-width forms; other scripts stay as they are
+BLOCKS = (
+    range(0x00A0, 0x0250), range(0x1E00, 0x1F00), range(0x2000, 0x2010), range(0x2070, 0x20A0),
+    range(0x2100, 0x2190), range(0xFB00, 0xFB07), range(0xFF01, 0xFF5F),
+)
+
+
 def _accent_table() -> tuple[str, str, dict[str, str]]:
     """Characters to map one to one, their targets, and those with longer targets."""
     table = dict(SPELLED_OUT)
-    for char in map(chr, [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2010)]):
+    for char in map(chr, [c for block in BLOCKS for c in block]):
         decomposed = unicodedata.normalize("NFKD", char)
         plain = "".join(c for c in decomposed if not unicodedata.combining(c))
         if plain and plain != char and plain.isascii():

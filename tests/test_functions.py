@@ -175,3 +175,10 @@ def test_other_formats(values):
 def test_dates_at_the_edges(values):
     texts = ["2026-3-5 9:1:3", "2026-01-01 24:00:00", "2026-01-01 10:00:60", "2024-02-29 0:0:0", "2025-02-29 0:0:0", " 2026-01-01 10:00:00"]
     assert values(dates.parse_date, texts) == [datetime(2026, 3, 5, 9, 1, 3), None, None, datetime(2024, 2, 29), None, None]
+
+
+def test_compatibility_forms_become_ascii(values):
+    from casemill.functions.text import normalize_text
+
+    got = values(normalize_text, ["ﬁn № ™ １２ Ａｂ", "x²", "λόγος Жук"])
+    assert got == ["fin no tm 12 ab", "x2", "λόγος жук"]
