@@ -18,7 +18,9 @@ HEADLINE = (
     "e1_consolidation",
     "e2a_provisional_report",
     "e2b_task_report",
+    "e3_models",
     "e4_comparison",
+    "e5_id_coverage",
     "e5_volumetry",
     "j2_j3_j4_resolve_ids",
     "j11_service_remap_over_lines",
@@ -27,6 +29,8 @@ HEADLINE = (
     "x1_normalize_text",
     "d1_parse_date",
     "d5_elapsed_minutes",
+    "s1_comma_export",
+    "k1_report_table",
     "a1_daily_counts",
     "u2_aligned_concat",
     "m3_row_numbers",
