@@ -70,13 +70,15 @@ def _(spark, sf):
 
 @query(
     "s3_semicolon_export",
-    TEXT_CELLS_READ.replace("source, nullif", "source, source AS \"source.1\", nullif"),
+    f"""SELECT doc_id AS id, cell AS "TITULO", lang AS "SOLICITANTE", source AS "ESTADO", text AS "FECHA_APERTURA",
+        lang AS "TIEMPO_SOLUCION", source AS "TIEMPO_SOLUCION.1" FROM ({TEXT_CELLS_READ}) r""",
 )
 def _(spark, sf):
-    names = ["doc_id", "lang", "source", "source.1", "cell", "text"]
-    raw = stand_in(spark, sf, TEXT_CELLS).withColumn("again", F.col("source"))
-    path = _write_csv(raw.select("doc_id", "lang", "source", "again", "cell", "text"), "semicolon", ";")
-    return files.read_csv(spark, path, ";", names)
+    names = ["id", "TITULO", "SOLICITANTE", "ESTADO", "FECHA_APERTURA", "TIEMPO_SOLUCION", "TIEMPO_SOLUCION.1"]
+    order = ["doc_id", "cell", "lang", "source", "text", "lang", "source"]
+    raw = stand_in(spark, sf, TEXT_CELLS)
+    raw = raw.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+    return files.read_helpdesk(spark, _write_csv(raw, "semicolon", ";"), names)
 
 
 REQUEST_TABLE = """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,26 +64,30 @@ def file_order() -> Column:
     )
 
 
+def _header_cells(line: str | None, sep: str) -> list[str]:
+    return next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), [])
+
+
 def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """The column names of the file, or of all files of a folder, made distinct.
+    """The column names of the file (of a folder's first file), made distinct. Reads one row."""
+    first = spark.read.text(path).first()
+    return distinct_names(_header_cells(first.value if first else None, sep))
 
-    Cells are read by place, so files whose headers differ are refused. The headers are found by
-    one scan that keeps a line per file.
-    """
+
+def check_one_header(spark: SparkSession, path: str) -> None:
+    """Refuse a folder whose files have different first lines; one scan that keeps a line a file."""
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
-        "value",
+        F.ltrim("value", F.lit("\ufeff")).alias("line"),
     )
     heads = (
-        lines.where("start = 0").groupBy("path").agg(F.min_by("value", "row").alias("line"))
-        .groupBy(F.ltrim("line", F.lit("\ufeff")).alias("line")).agg(F.min("path").alias("path"))
-        .orderBy("path").limit(2).collect()
+        lines.where("start = 0").groupBy("path").agg(F.min_by("line", "row").alias("line"))
+        .groupBy("line").agg(F.min("path").alias("path")).orderBy("path").limit(2).collect()
     )
     if len(heads) > 1:
         raise SchemaError(f"{heads[0].path} and {heads[1].path} have different headers")
-    return distinct_names(next(csv.reader([heads[0].line if heads else ""], delimiter=sep), []))
 
 
 def read_csv(
@@ -98,9 +103,15 @@ def read_csv(
     ``columns`` are the names in file order (default: the header, made distinct). Quoted cells
     may hold separators and line breaks; a file read with ``multi_line`` cannot be split, so
     turn that off (or use Parquet) for large exports without line breaks in cells.
-    ``row_order`` adds ``_row`` for rules like "the last row wins".
+    ``row_order`` adds ``_row`` for rules like "the last row wins". Since cells go by place, files of
+    a folder whose headers differ are refused: while they are read, or, where names repeat or are
+    given and Spark can't compare them itself, by a scan beforehand.
     """
-    names = list(columns) if columns else csv_header(spark, path, sep)
+    header = csv_header(spark, path, sep)
+    names = list(columns) if columns else header
+    compared = not columns and not any(re.search(r"\.\d+$", n) for n in header)
+    if not compared:
+        check_one_header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = (
         spark.read.schema(schema)
@@ -109,6 +120,7 @@ def read_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("enforceSchema", not compared)
         .csv(path)
     )
     cells = [

@@ -69,11 +69,29 @@ def test_rule_files(spark, folder):
 
 def test_files_of_a_folder_need_one_header(spark, folder):
     write(folder, "1.csv", "a,b\n1,2\n")
-    assert files.read_csv(spark, folder).columns == ["a", "b"]
+    assert [tuple(r) for r in files.read_csv(spark, folder).collect()] == [("1", "2")]
     write(folder, "2.csv", "b,a\n9,8\n")
     for multi_line in (True, False):
+        with pytest.raises(Exception, match="(?i)header"):
+            files.read_csv(spark, folder, multi_line=multi_line).collect()
         with pytest.raises(SchemaError, match="different headers"):
-            files.read_csv(spark, folder, multi_line=multi_line)
+            files.read_csv(spark, folder, columns=["x", "y"], multi_line=multi_line)
+
+
+def test_repeated_names_are_compared_beforehand(spark, folder):
+    write(folder, "1.csv", "\ufeffa,b,a\n1,2,3\n")
+    assert [r.asDict() for r in files.read_csv(spark, folder).collect()] == [{"a": "1", "b": "2", "a.1": "3"}]
+    write(folder, "2.csv", "a,a,b\n1,2,3\n")
+    with pytest.raises(SchemaError, match="different headers"):
+        files.read_csv(spark, folder)
+
+
+def test_byte_order_marks_are_no_part_of_a_name(spark, folder):
+    write(folder, "1.csv", "\ufeffa,b\n1,2\n")
+    write(folder, "2.csv", "a,b\n3,4\n")
+    for multi_line in (True, False):
+        got = files.read_csv(spark, folder, multi_line=multi_line).collect()
+        assert sorted((r.a, r.b) for r in got) == [("1", "2"), ("3", "4")]
 
 
 def test_last_row_of_the_last_file_wins(spark, folder):
