@@ -38,7 +38,7 @@ GROUP = 2048
 #: Bytes of contexts sorted together.
 DEAL_BYTES = 1 << 20
 FILTER_BITS, PROBES = 27, 4
-SEGMENT = 1 << 19
+SEGMENT = 1 << 18
 U64 = np.uint64
 
 

@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 
 from ..session import cut, prepare, scratch_path  # noqa: F401
 
+# Batches handed to Python are kept small, as documents may be long and workers hold several copies.
+ARROW = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Hand this package to the executors once per application, as a zip file that Spark serves."""
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent
