@@ -186,11 +186,11 @@ def test_weighted_positions(rows):
     assert out == {i: sum(j % 3 + 1 for j in range(i)) for i in range(50)}
 
 
-def test_codes_sort_times_and_skip_null(rows):
+def test_codes_sort_times_with_null_last(rows):
     df = rows("t timestamp_ntz", (datetime(2025, 1, 2),), (datetime(2025, 1, 1, 0, 0, 0, 5),), (datetime(2025, 1, 1),), (None,))
     codes = positions.category_codes(df, ["t"])
     out = {r.t: r.code for r in positions.encode(df, codes, "t", "code").collect()}
-    assert out == {datetime(2025, 1, 1): 0, datetime(2025, 1, 1, 0, 0, 0, 5): 1, datetime(2025, 1, 2): 2, None: None}
+    assert out == {datetime(2025, 1, 1): 0, datetime(2025, 1, 1, 0, 0, 0, 5): 1, datetime(2025, 1, 2): 2, None: 3}
 
 
 def test_checks(rows):

@@ -37,11 +37,11 @@ def matrix(rows, n):
 
 
 def test_separable_labels(rows):
-    assert volume.train_logistic(matrix(rows, 300)) == 1.0
+    assert volume.train_logistic(matrix(rows, 300)).logistic_accuracy == 1.0
 
 
 def test_too_few_cases(rows):
-    assert volume.train_logistic(matrix(rows, 4)) is None
+    assert volume.train_logistic(matrix(rows, 4)).logistic_accuracy is None
 
 
 def test_split_is_stable_and_near_its_share(spark):
