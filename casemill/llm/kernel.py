@@ -7,13 +7,14 @@ only, so they agree between tasks, runs and machines.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _SPACE = np.zeros(256, bool)
@@ -69,6 +70,17 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system: workers live on from task to task, and
+    what one stage's arrays needed would otherwise stay with them."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def as_text(column: pa.Array) -> pa.Array:
     """The column as plain strings, null as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -94,6 +106,7 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         end = min(n, max(row + 1, end))
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    release()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
