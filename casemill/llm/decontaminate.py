@@ -11,6 +11,7 @@ tasks in blocks of at most ``BLOCK_CHARS`` characters; there are as many passes
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,7 +26,7 @@ RATE = 0.05
 MIN_CHARS = 20
 BLOCK_CHARS = 4 << 20
 
-_automata: dict[int, tuple] = {}
+_automata: dict[str, ahocorasick.Automaton] = {}
 
 
 def normal(text: str | None) -> str:
@@ -118,7 +119,7 @@ def matches(text: str, items, found) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
-def blocks(benchmark: DataFrame, rate: float, size: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str, int]]]:
+def blocks(benchmark: DataFrame, rate: float) -> Iterator[list[tuple[int, str, int]]]:
     """(item id, normal text, budget) in blocks of bounded size; items shorter than MIN_CHARS
     characters, null ones among them, are too short to tell and left out."""
     held, weight = [], 0
@@ -128,7 +129,7 @@ def blocks(benchmark: DataFrame, rate: float, size: int = BLOCK_CHARS) -> Iterat
             continue
         held.append((row.item_id, text, int(rate * len(text))))
         weight += len(text)
-        if weight >= size:
+        if weight >= BLOCK_CHARS:
             yield held
             held, weight = [], 0
     if held:
@@ -143,10 +144,11 @@ def _ready(shared):
 
 
 class _Block:
-    """A broadcast block with a name by which a worker knows its automaton."""
+    """A broadcast block with a name by which a worker knows its automaton. No other block ever
+    has the name, as an address of the driver's memory might."""
 
     def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, id(broadcast)
+        self.broadcast, self.id = broadcast, uuid.uuid4().hex
 
     @property
     def value(self):

@@ -97,6 +97,34 @@ def test_leaks_within_the_budget_are_found(spark, docs, prose):
     assert decontaminate.find(docs(*texts), benchmark.limit(0), {"doc_id": F.col("doc_id")}).count() == 0
 
 
+def test_no_two_blocks_share_a_name():
+    class Shared:  # stands for a broadcast that is freed before the next one is made
+        def __init__(self, items):
+            self.value = items
+
+    names = set()
+    for k in range(50):
+        block = decontaminate._Block(Shared([(k, f"item {k} " * 5, 0)]))
+        items, found = decontaminate._ready(block)
+        assert [i for i, *_ in decontaminate.matches(items[0][1], items, found)] == [0]
+        names.add(block.id)
+        del block, items, found
+    assert len(names) == 50
+
+
+def test_blocks_and_benchmarks_of_one_session_stay_apart(spark, docs, prose, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 300)  # about two items a block
+    items = [(i, prose(500 + i, 25)) for i in range(12)]
+    table = docs(*[prose(40 + i, 10) + " " + t + " " + prose(60 + i, 10) for i, t in items], prose(99, 30))
+    for mine in (items[:6], items[6:], items):
+        benchmark = spark.createDataFrame(mine, "item_id long, text string")
+        assert len(list(decontaminate.blocks(benchmark, 0.05))) > 1
+        found = decontaminate.find(table, benchmark, {"doc_id": F.col("doc_id")}).collect()
+        assert sorted((r.doc_id, r.item_id, r.distance) for r in found) == [(i, i, 0) for i, _ in mine]
+        clean = decontaminate.without_leaks(table, benchmark).collect()
+        assert sorted(r.doc_id for r in clean) == sorted({*range(13)} - {i for i, _ in mine})
+
+
 def test_every_edited_passage_is_found_by_brute_force(docs, spark, prose):
     rng = random.Random(6)
     items = [(i, prose(300 + i, 8)) for i in range(6)]
