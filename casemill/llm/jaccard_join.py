@@ -18,8 +18,8 @@ never results. Tokens that occur once match nothing and are no signatures.
 A signature's sets are a list of candidates, cut into blocks if it is long. Within a list, parity
 bitmaps give a lower bound of the symmetric difference that rules out nearly all pairs that aren't
 similar. Of the rest a spanning forest is proposed and its edges are verified on the true sets;
-lists with refuted edges propose again without them, several for each member, until nothing new
-comes up. So not all pairs of a large group of copies are written out, and no link that holds two
+lists with refuted edges, or with a member that had more to propose than it may at once, propose
+again without the answered ones, several for each member, until nothing new comes up. So not all pairs of a large group of copies are written out, and no link that holds two
 parts together is lost.
 """
 
@@ -216,10 +216,12 @@ def _described(words: int):
 
 # -- candidate lists -----------------------------------------------------------------------------
 
-def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> list[tuple[int, int]]:
-    """Pairs that may be similar and would connect what isn't connected by linked pairs.
+def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs that may be similar and would connect what isn't connected by linked pairs, and whether
+    pairs of that kind were held back.
 
-    A ``width`` of 1 asks for a spanning forest, a larger one for so many pairs for each member."""
+    A ``width`` of 1 asks for a spanning forest, which holds nothing back if all its edges verify, a
+    larger one for so many pairs for each member."""
     place = {s: i for i, s in enumerate(sids)}
     label = np.arange(len(sids))
     for a, b in linked:
@@ -231,7 +233,7 @@ def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> list[tupl
         no.setdefault(j, set()).add(i)
     words = bits.view(U64)
     up, down = threshold.numerator, threshold.denominator
-    out = []
+    out, more = [], False
     for i in range(1, len(sids)):
         others = np.flatnonzero(label[:i] != label[i])
         small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
@@ -246,20 +248,21 @@ def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> list[tupl
         for j in others.tolist():
             if j in no.get(i, ()) or (width == 1 and label[i] == label[j]):
                 continue
+            if not left:
+                more = True
+                break
             out.append((i, j))
             if width == 1:
                 x, y = label[i], label[j]
                 label[label == max(x, y)] = min(x, y)
             else:
                 left -= 1
-                if not left:
-                    break
-    return [(int(min(sids[a], sids[b])), int(max(sids[a], sids[b]))) for a, b in out]
+    return [(int(min(sids[a], sids[b])), int(max(sids[a], sids[b]))) for a, b in out], more
 
 
 def _propose(threshold: Fraction, width: int):
     def run(key, members: pa.Table, known: pa.Table) -> pa.Table:
-        none = pa.table({"list": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        none = pa.table({"list": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})
         if not len(members):
             return none
         sids = np.asarray(members["sid"])
@@ -269,10 +272,10 @@ def _propose(threshold: Fraction, width: int):
         ok = known["ok"].to_pylist()
         edges = list(zip(known["a"].to_pylist(), known["b"].to_pylist()))
         linked, refuted = ([e for e, k in zip(edges, ok) if k is want] for want in (True, False))
-        found = proposals(sids.tolist(), sizes, np.ascontiguousarray(bits), threshold, linked, refuted, width)
+        found, more = proposals(sids.tolist(), sizes, np.ascontiguousarray(bits), threshold, linked, refuted, width)
         if not found:
             return none
-        return pa.table({"list": pa.array([key[0].as_py()] * len(found), pa.int64()), "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        return pa.table({"list": pa.array([key[0].as_py()] * len(found), pa.int64()), "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64()), "more": pa.array([more] * len(found), pa.bool_())})
 
     return run
 
@@ -332,7 +335,7 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
     known, todo = empty, members
     verified, width = None, 1
     while True:
-        proposed = todo.groupBy("list").cogroup(known.groupBy("list")).applyInArrow(_propose(threshold, width), "list long, a long, b long")
+        proposed = todo.groupBy("list").cogroup(known.groupBy("list")).applyInArrow(_propose(threshold, width), "list long, a long, b long, more boolean")
         proposed = cut(proposed)
         if proposed.isEmpty():
             break
@@ -343,9 +346,9 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
         both = fresh.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
         checked = both.mapInArrow(_verify(threshold), "a long, b long, ok boolean")
         verified = cut(checked if verified is None else checked.unionByName(verified))
-        answered = proposed.join(verified, ["a", "b"]).select("list", "a", "b", "ok")
-        known = cut(known.unionByName(answered))
-        again = answered.where("NOT ok").select("list").distinct()  # only these may have more to say
+        answered = proposed.join(verified, ["a", "b"]).select("list", "a", "b", "ok", "more")
+        known = cut(known.unionByName(answered.drop("more")))
+        again = answered.where("more OR NOT ok").select("list").distinct()  # only these may have more to say
         todo = cut(members.join(again, "list", "left_semi"))
         known = cut(known.join(again, "list", "left_semi"))
         width *= 8

@@ -5,6 +5,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,29 @@ def test_join_is_exact(docs, monkeypatch, words, threshold, frequent):
     assert got == brute_components(rows, words, threshold)
 
 
+def test_no_partner_is_held_back_for_good(docs, monkeypatch):
+    """x is tied to the groups A and B; its first pairs with both fail, and A alone fills its width."""
+    rng = random.Random(8)
+
+    def text(group, changed, low, high):
+        # a set whose name, by which a list is ordered, lies between low and high
+        while True:
+            words = [f"{group}{i}" if i in changed else f"u{i}" for i in range(1000)] + [f"z{rng.random()}"]
+            tokens = next(t for _, t in jaccard_join.sets_of(pa.array([" ".join(words)]), 1))
+            if low <= jaccard_join.set_id(tokens) / 2**63 < high:
+                return " ".join(words)
+
+    a, b = range(40), range(100, 140)
+    texts = [text("a", range(54), -1, -0.8)] + [text("a", a, -0.8, -0.3) for _ in range(9)]
+    texts += [text("b", range(100, 154), -0.3, 0)] + [text("b", b, 0, 0.5) for _ in range(2)]
+    texts += [text("x", (), 0.5, 1)]
+    one_list = lambda posted: posted.select(F.lit(1).cast("long").alias("list"), "sid").distinct()
+    monkeypatch.setattr(jaccard_join, "_lists", one_list)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(docs(*rows), words=1).collect()}
+    assert got == brute_components(rows, 1, Fraction(9, 10)) and {c for _, c in got.values()} == {0}
+
+
 def test_join_handles_odd_rows(docs):
     odd = docs((7, "same text here"), (7, "same text here"), (None, "same text here"), (None, "alone"), (3, None))
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard_join.join(odd).collect())
