@@ -95,6 +95,14 @@ def test_language_model_prefers_seen_sequences(docs, prose):
     assert max(model.weights) > 0.3
 
 
+def test_weights_are_fitted_on_all_training_texts(spark, docs, prose):
+    lines = spark.createDataFrame([(prose(700 + k, 5),) for k in range(20)], "text string").orderBy(F.xxhash64("text"))
+    first, *others = [r.text for r in lines.collect()]
+    # the copies come first in the order of the hash; words seen 8 times are of level 4
+    model, _ = bloom_lm.learn(docs(*[first] * 2100, *others * 8))
+    assert model.weights[12] > 0.5 and model.weights[4] > 0.5
+
+
 def test_lowest_levels_rise_to_fit():
     import numpy as np
 
