@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bloom_lm, decontaminate, jaccard_join, language_mixture, quality_fm, segment_search, sentencepiece_wfst, suffix_dedup,
-    token_rollup, warc,
+    bloom_lm, bounded_ring, decontaminate, jaccard_join, language_mixture, lexical_search, merkle_manifest, quality_fm, segment_search,
+    sentencepiece_wfst, suffix_dedup, token_rollup, warc,
 )
 
 MODULES = (
     token_rollup, jaccard_join, segment_search, warc, quality_fm, bloom_lm, decontaminate, language_mixture, sentencepiece_wfst, suffix_dedup,
+    merkle_manifest, bounded_ring, lexical_search,
 )
 
 

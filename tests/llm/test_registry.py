@@ -18,8 +18,8 @@ def test_sql_agrees(spark, name):
     assert as_rows(df.columns, df.collect()) == as_rows(names, cursor.fetchall())
 
 
-def test_ten_operators():
-    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
+def test_thirteen_operators():
+    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 14))
 
 
 def test_pipeline_keeps_columns_and_shrinks(spark):
