@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
 from ..operators.quality import SchemaError, check_fingerprint
+from . import quoted
 
 # Cell texts that mean "missing" in the exports.
 NA_TOKENS = (
@@ -68,12 +69,6 @@ def _header_cells(line: str | None, sep: str) -> list[str]:
     return next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=sep), [])
 
 
-def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """The column names of the file (of a folder's first file), made distinct. Reads one row."""
-    first = spark.read.text(path).first()
-    return distinct_names(_header_cells(first.value if first else None, sep))
-
-
 def check_one_header(spark: SparkSession, path: str) -> None:
     """Refuse a folder whose files have different first lines; one scan that keeps a line a file."""
     lines = spark.read.text(path).select(
@@ -90,6 +85,22 @@ def check_one_header(spark: SparkSession, path: str) -> None:
         raise SchemaError(f"{heads[0].path} and {heads[1].path} have different headers")
 
 
+def _spark_csv(spark, path, sep, names, multi_line, compared) -> DataFrame:
+    """Spark's own reader; with ``multi_line`` a file is read in one task."""
+    if not compared:
+        check_one_header(spark, path)
+    return (
+        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        .option("header", True)
+        .option("sep", sep)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("enforceSchema", not compared)
+        .csv(path)
+    )
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -97,38 +108,36 @@ def read_csv(
     columns: Sequence[str] | None = None,
     multi_line: bool = True,
     row_order: bool = False,
+    split: bool = True,
 ) -> DataFrame:
     """Every column as text, by place in the file.
 
     ``columns`` are the names in file order (default: the header, made distinct). Quoted cells
-    may hold separators and line breaks; a file read with ``multi_line`` cannot be split, so
-    turn that off (or use Parquet) for large exports without line breaks in cells.
+    may hold separators and, with ``multi_line``, line breaks; files are split either way.
     ``row_order`` adds ``_row`` for rules like "the last row wins". Since cells go by place, files of
-    a folder whose headers differ are refused: while they are read, or, where names repeat or are
-    given and Spark can't compare them itself, by a scan beforehand.
+    a folder whose headers differ are refused.
+
+    Reading line breaks in parallel takes quotes to mark cells only (see ``quoted``) and a header of
+    one line. ``split=False`` leaves files with loose quotes to Spark's own reader, one task a file.
+    Names that look like repeated ones (``a.1``) make it compare the headers by a scan beforehand.
     """
-    header = csv_header(spark, path, sep)
+    first = spark.read.option("lineSep", "\n").text(path).first()
+    line = (first.value if first else "").lstrip("\ufeff").removesuffix("\r")
+    header = distinct_names(_header_cells(line, sep))
     names = list(columns) if columns else header
-    compared = not columns and not any(re.search(r"\.\d+$", n) for n in header)
-    if not compared:
-        check_one_header(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("enforceSchema", not compared)
-        .csv(path)
-    )
+    if multi_line and split and first:
+        if line.count('"') % 2:
+            raise SchemaError(f"{path}: a header with line breaks, read it with split=False")
+        df = quoted.read_quoted(spark, path, line, names, sep, row_order=row_order)
+    else:
+        compared = not columns and not any(re.search(r"\.\d+$", n) for n in header)
+        df = _spark_csv(spark, path, sep, names, multi_line, compared)
+        if row_order:
+            df = df.select("*", file_order().alias("_row"))
     cells = [
         F.when(~F.col(f"`{n}`").isin(*NA_TOKENS), F.col(f"`{n}`")).alias(n) for n in names
     ]
-    if row_order:
-        cells.append(file_order().alias("_row"))
-    return df.select(*cells)
+    return df.select(*cells, "_row") if row_order else df.select(*cells)
 
 
 def _case_export(spark: SparkSession, path: str, required: Sequence[str], multi_line: bool) -> DataFrame:
@@ -155,10 +164,7 @@ def read_extended_exports(
 def read_helpdesk(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """S3: semicolons, quoted cells with line breaks, a repeated header name.
-
-    With ``multi_line=False`` the files can be split; cells must not hold line breaks then.
-    """
+    """S3: semicolons, quoted cells with line breaks, a repeated header name."""
     df = read_csv(spark, path, ";", columns, multi_line)
     return check_fingerprint(df, HELPDESK_COLUMNS, path)
 
