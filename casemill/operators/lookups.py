@@ -29,21 +29,22 @@ class RuleTable:
 
     key: str
     values: tuple[str, ...]
-    rows: Mapping[str, tuple[str, ...]]
+    rows: Mapping[str, tuple[str | None, ...]]
 
     def value(self, key: Column, column: str) -> Column:
         """The value for a key, NULL without a hit."""
         if not self.rows:
             return F.lit(None).cast("string")
         at = self.values.index(column)
-        mapping = F.map_from_arrays(F.lit(list(self.rows)), F.lit([r[at] for r in self.rows.values()]))
+        found = F.lit([r[at] for r in self.rows.values()]).cast("array<string>")
+        mapping = F.map_from_arrays(F.lit(list(self.rows)), found)
         return F.try_element_at(mapping, key.cast("string"))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The rules as local rows of a size Spark knows."""
-        columns = {self.key: list(self.rows)}
+        columns = {self.key: pa.array(list(self.rows), pa.string())}
         for at, name in enumerate(self.values):
-            columns[name] = [row[at] for row in self.rows.values()]
+            columns[name] = pa.array([row[at] for row in self.rows.values()], pa.string())
         return spark.createDataFrame(pa.table(columns))
 
 
