@@ -9,7 +9,8 @@ plan; that is a matter of cost only, both ways look a key up by equality of its
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -23,6 +24,11 @@ from ..functions.text import normalize_text, trim_lower
 INLINE_RULES = 128
 
 
+def _texts(values: Iterable[str | None]) -> Column:
+    """A constant array, handed over as one value instead of one by one."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+
+
 @dataclass(frozen=True)
 class RuleTable:
     """A small lookup whose rows the driver holds: unique text keys, one or more text values."""
@@ -36,8 +42,7 @@ class RuleTable:
         if not self.rows:
             return F.lit(None).cast("string")
         at = self.values.index(column)
-        found = F.lit([r[at] for r in self.rows.values()]).cast("array<string>")
-        mapping = F.map_from_arrays(F.lit(list(self.rows)), found)
+        mapping = F.map_from_arrays(_texts(self.rows), _texts(r[at] for r in self.rows.values()))
         return F.try_element_at(mapping, key.cast("string"))
 
     def frame(self, spark: SparkSession) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,8 +39,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_read: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. They never change, so a session looks at a table's files once."""
+    path, known = f"{sf_dir}/{name}.parquet", _read.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 def tables_in(text: str) -> list[str]:
