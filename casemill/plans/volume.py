@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_creation_features, add_day_number
 from ..operators.filters import equal_to, in_period
 from ..operators.metrics import daily_counts
-from ..operators.positions import category_codes, encode
+from ..operators.positions import counted_codes, encode_columns
 from ..operators.shape import drop_if_present
 from ..session import cut, temporary_cuts
 from ..sources.sinks import write_report
@@ -73,12 +73,10 @@ def training_matrix(rows: DataFrame) -> DataFrame:
 
     The row number only has to be unique, so it costs no shuffle.
     """
+    times, codes = counted_codes(rows, ["fecha_solucion"]), counted_codes(rows, CODED)
     rows = rows.withColumn("indice", F.monotonically_increasing_id())
-    times = cut(category_codes(rows, ["fecha_solucion"]))
-    rows = encode(rows, times, "fecha_solucion", "fechaCaso")
-    codes = cut(category_codes(rows, CODED), ("column_name",))
-    for column in CODED:
-        rows = encode(rows, codes, column)
+    rows = encode_columns(rows, times, {"fecha_solucion": "fechaCaso"})
+    rows = encode_columns(rows, codes, {c: c for c in CODED})
     return drop_if_present(rows, MATRIX_DROPPED).select(*MATRIX)
 
 

@@ -65,8 +65,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     events = stand_in(spark, sf, SOME_TIMES)
-    codes = positions.category_codes(events, ["ts"])
-    return positions.encode(events, codes, "ts", "code").drop("ts")
+    codes = positions.counted_codes(events, ["ts"])
+    return positions.encode_columns(events, codes, {"ts": "code"}).drop("ts")
 
 
 @query(
