@@ -94,32 +94,44 @@ def _family(dtype: str) -> str:
     return "date" if dtype in ("timestamp", "timestamp_ntz", "date") else "text"
 
 
+# rows of more columns than this are compared by hashes first
+NARROW = 8
+
+
 def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows without an identical partner: all columns, ``_side`` (0 left, 1 right), ``_n`` copies."""
+    """Rows without an identical partner: all columns, ``_side`` (0 left, 1 right), ``_n`` copies.
+
+    Wide rows are compared by 128 bits of hashes, which is all that is shuffled of identical ones;
+    whole rows are fetched in a second scan for the hashes that are left. Narrow rows are hardly
+    longer than such hashes and are compared themselves. That is a matter of cost only.
+    """
     a, b = dict(left.dtypes), dict(right.dtypes)
     types = {c: _cell_type(a[c], b[c]) for c in left.columns}
-
-    def side(df: DataFrame, sign: int) -> DataFrame:
-        cells = [_missing_as_null(F.col(f"`{c}`"), a[c] if sign > 0 else b[c]).cast(t).alias(c)
-                 for c, t in types.items()]
-        return df.select(*cells, F.lit(sign).cast("bigint").alias("_n"))
-
-    both = side(left, 1).unionByName(side(right, -1))
-    quoted = [f"`{c}`" for c in left.columns]
-    return (
-        both.groupBy(*quoted)
-        .agg(F.sum("_n").alias("_n"))
-        .where("_n != 0")
-        .select(
-            *quoted,
-            F.when(F.col("_n") > 0, 0).otherwise(1).alias("_side"),
-            F.abs("_n").alias("_n"),
-        )
+    columns = [f"`{c}`" for c in left.columns]
+
+    def side(df: DataFrame, which: int) -> DataFrame:
+        kinds = b if which else a
+        cells = [_comparable(F.col(f"`{c}`"), kinds[c]).cast(t).alias(c) for c, t in types.items()]
+        return df.select(*cells, F.lit(which).alias("_side"))
+
+    both = side(left, 0).unionByName(side(right, 1))
+    keys = columns
+    if len(columns) > NARROW:
+        parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]  # hashes pass over NULL
+        both = both.withColumns({"_h1": F.xxhash64(*parts), "_h2": F.xxhash64(F.lit(1), *parts)})
+        keys = ["_h1", "_h2"]
+    signed = both.select(*keys, F.when(F.col("_side") == 0, 1).otherwise(-1).cast("bigint").alias("_n"))
+    kept = signed.groupBy(*keys).agg(F.sum("_n").alias("_n")).where("_n != 0").select(
+        *keys, F.when(F.col("_n") > 0, 0).otherwise(1).alias("_side"), F.abs("_n").alias("_n")
     )
+    if keys is columns:
+        return kept
+    return both.join(kept, [*keys, "_side"]).select(*columns, "_side", "_n").distinct()
 
 
-def _missing_as_null(c: Column, dtype: str) -> Column:
-    return F.when(~F.isnan(c), c) if dtype in ("float", "double") else c
+def _comparable(c: Column, dtype: str) -> Column:
+    """NaN as NULL, and one zero."""
+    return F.when(~F.isnan(c), c + F.lit(0).cast(dtype)) if dtype in ("float", "double") else c
 
 
 def key_mismatches(differing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -225,21 +237,30 @@ def divergences(
     )
 
 
-def column_summary(divs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def class_totals(divs: DataFrame) -> DataFrame:
+    """Per column and class the differing cells and the distinct patterns: all that the summary and
+    the verdict need, in one pass over the divergences. At most four rows a column."""
+    return divs.groupBy("column_name", "class").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("patterns")
+    )
+
+
+def column_summary(
+    divs: DataFrame, columns: Sequence[str] | None = None, totals: DataFrame | None = None
+) -> DataFrame:
     """Q10: per column the differing cells, by class, the dominant class, the distinct patterns.
 
-    With ``columns``, those without a difference are listed too.
+    With ``columns``, those without a difference are listed too. ``totals``: the ``class_totals``
+    if they are there already.
     """
-    by_class = divs.groupBy("column_name", "class").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("patterns")
-    )
+    totals = class_totals(divs) if totals is None else totals
     counts = [
         F.coalesce(F.sum(F.when(F.col("class") == c, F.col("n"))), F.lit(0)).alias(c)
         for c in CLASSES
     ]
     # equal counts: the class that comes first in the alphabet
     dominant = F.min(F.struct((-F.col("n")).alias("n"), "class")).getField("class")
-    summary = by_class.groupBy("column_name").agg(
+    summary = totals.groupBy("column_name").agg(
         F.sum("n").alias("total"),
         *counts,
         dominant.alias("dominant_class"),
@@ -256,36 +277,42 @@ def column_summary(divs: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-# beyond this Spark's own limit per group isn't planned
-SMALL_K, RANK_PARTS = 1000, 32
+# up to here every task keeps k patterns a column and one task a column ranks what they kept
+SMALL_K = 1000
 
 
 def top_patterns(divs: DataFrame, k: int = MAX_PATTERNS) -> DataFrame:
     """Q11: the ``k`` most frequent patterns of each column; equal counts in value order.
 
-    Spark thins out each partition before the shuffle for small ``k`` only. For a large one a
-    column's patterns are thinned out in parts first, so that its task gets ``RANK_PARTS * k`` at
-    most.
+    For a large ``k`` a histogram of the counts gives each column's cut-off; patterns below it
+    are out without being ordered, the others are ranked over range partitions.
     """
     by = [F.desc("n"), "left_value", "right_value", "class"]
-    if k > SMALL_K:
-        part = F.pmod(F.xxhash64("left_value", "right_value", "class"), F.lit(RANK_PARTS))
-        inner = Window.partitionBy("column_name", "_part").orderBy(*by)
-        parted = divs.withColumn("_part", part)
-        divs = parted.withColumn("_rank", F.row_number().over(inner)).where(F.col("_rank") <= k)
-        divs = divs.drop("_part", "_rank")
-    order = Window.partitionBy("column_name").orderBy(*by)
-    return divs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def verdict(divs: DataFrame) -> DataFrame:
+    if k <= SMALL_K:
+        order = Window.partitionBy("column_name").orderBy(*by)
+        return divs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    histogram = divs.groupBy("column_name", "n").agg(F.count(F.lit(1)).alias("_patterns"))
+    # a column with T differing cells has less than sqrt(2 T) different counts
+    higher = Window.partitionBy("column_name").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = histogram.withColumn("_higher", F.coalesce(F.sum("_patterns").over(higher), F.lit(0)))
+    least = reached.where(F.col("_higher") < k).groupBy("column_name").agg(F.min("n").alias("_least"))
+    chosen = divs.join(F.broadcast(least), "column_name").where("n >= _least").drop("_least")  # one row a column
+    ordered = chosen.withColumn("_less", -F.col("n"))
+    placed = add_positions(ordered, ["column_name", "_less", "left_value", "right_value", "class"], "_at")
+    starts = placed.groupBy("column_name").agg(F.min("_at").alias("_start"))
+    ranked = placed.join(F.broadcast(starts), "column_name").withColumn("rank", (F.col("_at") - F.col("_start") + 1).cast("int"))
+    return ranked.where(F.col("rank") <= k).select(*divs.columns, "rank")
+
+
+def verdict(divs: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Q12: one row: differing cells, the verdict and its exit code (0 equal, 1 differences).
 
     Pairs that differ in type only count as cells but do not change the verdict.
     """
+    totals = class_totals(divs) if totals is None else totals
     total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")
     real = F.coalesce(F.sum(F.when(F.col("class") != "type_mismatch", F.col("n"))), F.lit(0)) > 0
-    return divs.agg(
+    return totals.agg(
         total.alias("differing_cells"),
         F.when(real, "value_differences").otherwise("equal").alias("verdict"),
         F.when(real, 1).otherwise(0).alias("exit_code"),
@@ -332,16 +359,17 @@ def compare_tables(
     spark = left.sparkSession
     left, right = strip_columns(left, ignore), strip_columns(right, ignore)
     only_left, only_right = schema_diff(left, right)
-    n_left, n_right = left.count(), right.count()
     notes = []
+    missing = [k for k in keys if k not in left.columns]
     if only_left or only_right:
         notes.append(f"columns only left {only_left}, only right {only_right}")
-    if n_left != n_right:
-        notes.append(f"rows: {n_left} left, {n_right} right")
-    missing = [k for k in keys if k not in left.columns]
-    if not notes and missing:
+    elif missing:
         notes.append(f"key columns missing: {missing}")
     divs = spark.createDataFrame([], DIVERGENCE_SCHEMA)
+    totals = class_totals(divs)
+    n_left, n_right = left.count(), right.count()
+    if n_left != n_right:
+        notes.append(f"rows: {n_left} left, {n_right} right")
     if not notes:
         right = right.select(*[f"`{c}`" for c in left.columns])
         differing = cut(differing_rows(left, right))
@@ -352,8 +380,9 @@ def compare_tables(
                 f"{unmatched.only_right} only right"
             )
         else:
-            # summary, patterns and verdict all read them: evaluated once
+            # patterns and totals both read them: evaluated once
             divs = cut(divergences(pair_rows(differing, keys), left, right, atol, ignore_case))
+            totals = cut(class_totals(divs))  # summary and verdict: one pass
     return Comparison(
         compatible=not notes,
         notes=tuple(notes),
@@ -361,7 +390,7 @@ def compare_tables(
         right_rows=n_right,
         structure=structure(left, right),
         divergences=divs,
-        summary=column_summary(divs, left.columns),
+        summary=column_summary(divs, left.columns, totals),
         patterns=top_patterns(divs, max_patterns),
-        verdict=verdict(divs) if not notes else incompatible_verdict(spark),
+        verdict=verdict(divs, totals) if not notes else incompatible_verdict(spark),
     )

@@ -289,6 +289,68 @@ def _(spark, sf):
     return compare.compare_tables(left, left.where("origen_caso <> 'F'")).verdict
 
 
+# a text column against a number: what differs as text is a difference of type
+TYPED_LEFT = "SELECT o_orderstatus AS origen_caso, o_orderkey AS numero_caso, CAST(o_custkey AS STRING) AS cliente, o_orderpriority AS prioridad FROM {orders}"
+TYPED_RIGHT = """SELECT o_orderstatus AS origen_caso, o_orderkey AS numero_caso, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + 1
+  WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS cliente, CASE WHEN o_orderkey % 5 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS prioridad FROM {orders}"""
+TYPED = f"""SELECT 'cliente' AS column_name, a.cliente AS left_value, coalesce(CAST(b.cliente AS VARCHAR), '<NaN>') AS right_value,
+    CASE WHEN b.cliente IS NULL THEN 'null_mismatch' ELSE 'type_mismatch' END AS class
+    FROM ({TYPED_LEFT}) a JOIN ({TYPED_RIGHT}) b USING (origen_caso, numero_caso) WHERE a.cliente IS DISTINCT FROM CAST(b.cliente AS VARCHAR)
+  UNION ALL SELECT 'prioridad', a.prioridad, b.prioridad, 'case_difference'
+    FROM ({TYPED_LEFT}) a JOIN ({TYPED_RIGHT}) b USING (origen_caso, numero_caso) WHERE a.prioridad <> b.prioridad"""
+
+
+def _typed(spark, sf):
+    return compare.compare_tables(stand_in(spark, sf, TYPED_LEFT), stand_in(spark, sf, TYPED_RIGHT))
+
+
+@query("q9_type_mismatch", f"SELECT *, count(*) AS n FROM ({TYPED}) t GROUP BY ALL")
+def _(spark, sf):
+    return _typed(spark, sf).divergences
+
+
+@query(
+    "q10_summary_with_types",
+    f"""SELECT column_name, count(t.class) AS total, count(*) FILTER (class = 'null_mismatch') AS null_mismatch,
+        count(*) FILTER (class = 'case_difference') AS case_difference, count(*) FILTER (class = 'type_mismatch') AS type_mismatch,
+        count(*) FILTER (class = 'value_mismatch') AS value_mismatch,
+        CASE column_name WHEN 'cliente' THEN 'type_mismatch' WHEN 'prioridad' THEN 'case_difference' END AS dominant_class,
+        count(DISTINCT left_value || '|' || right_value) AS unique_patterns
+        FROM (VALUES ('origen_caso'), ('numero_caso'), ('cliente'), ('prioridad')) c(column_name) LEFT JOIN ({TYPED}) t USING (column_name) GROUP BY 1""",
+)
+def _(spark, sf):
+    return _typed(spark, sf).summary
+
+
+@query(
+    "q11_large_k",
+    f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, left_value, right_value) AS rank FROM (
+        SELECT 'responsable' AS column_name, 'Owner ' || CAST(o_custkey AS VARCHAR) AS left_value, CAST(o_custkey AS VARCHAR) AS right_value,
+          'value_mismatch' AS class, count(*) AS n FROM {{orders}} GROUP BY ALL
+        UNION ALL SELECT 'fecha', CAST(o_orderkey AS VARCHAR), 'x' || CAST(o_orderkey AS VARCHAR), 'value_mismatch', 1 FROM {{orders}}) d) r WHERE rank <= 1500""",
+)
+def _(spark, sf):
+    left = stand_in(spark, sf, "SELECT 'x' AS origen_caso, o_orderkey AS numero_caso, CAST(o_orderkey AS STRING) AS fecha, 'Owner ' || CAST(o_custkey AS STRING) AS responsable FROM {orders}")
+    right = stand_in(spark, sf, "SELECT 'x' AS origen_caso, o_orderkey AS numero_caso, 'x' || CAST(o_orderkey AS STRING) AS fecha, CAST(o_custkey AS STRING) AS responsable FROM {orders}")
+    return compare.compare_tables(left, right, max_patterns=1500).patterns
+
+
+GATE = "SELECT CAST(0 AS BIGINT) AS differing_cells, CASE WHEN {what} THEN 'incompatible' ELSE 'equal' END AS verdict, CASE WHEN {what} THEN 2 ELSE 0 END AS exit_code FROM {{orders}}"
+
+
+@query("q13_gate_on_keys", GATE.format(what="count(*) FILTER (o_orderkey % 97 = 0) > 0"))
+def _(spark, sf):
+    left = stand_in(spark, sf, LEFT)
+    moved = left.withColumn("numero_caso", F.when(F.col("numero_caso") % 97 == 0, -F.col("numero_caso")).otherwise(F.col("numero_caso")))
+    return compare.compare_tables(left, moved).verdict
+
+
+@query("q13_gate_on_columns", GATE.format(what="count(*) >= 0"))
+def _(spark, sf):
+    left = stand_in(spark, sf, LEFT)
+    return compare.compare_tables(left, left.withColumnRenamed("responsable", "otro")).verdict
+
+
 @query(
     "e4_comparison",
     f"""SELECT f.column_name, coalesce(total, 0) AS total, coalesce(null_mismatch, 0) AS null_mismatch,

@@ -1,7 +1,9 @@
 from collections import Counter
 
 import pytest
+from pyarrow import parquet
 
+from casemill.operators import compare
 from casemill.operators.compare import compare_tables, differing_rows, pair_rows
 
 KEYS = ("origen_caso", "numero_caso")
@@ -66,8 +68,10 @@ def test_columns_left_out(rows):
     assert compare_tables(left, right, KEYS, ignore=("nota",)).verdict.first().verdict == "equal"
 
 
-def test_copies_and_hot_keys_against_brute_force(rows):
+@pytest.mark.parametrize("narrow", [8, 0])
+def test_copies_and_hot_keys_against_brute_force(rows, monkeypatch, narrow):
     """One key holds nearly all rows, most of them copies; more than one block of positions."""
+    monkeypatch.setattr(compare, "NARROW", narrow)
     left = [("H", 1, "same")] * 9000 + [("H", 1, f"l{i % 700:03}") for i in range(3000)] + [("B", 2, None)] * 5
     right = [("H", 1, "same")] * 4000 + [("H", 1, f"r{i % 900:03}") for i in range(8000)] + [("B", 2, "z")] * 5
     a, b = rows(SCHEMA, *left), rows(SCHEMA, *right)
@@ -79,3 +83,35 @@ def test_copies_and_hot_keys_against_brute_force(rows):
     only_left = sorted((Counter(left) - Counter(right)).elements(), key=order)
     only_right = sorted((Counter(right) - Counter(left)).elements(), key=order)
     assert got == Counter(zip(only_left, only_right))
+
+
+@pytest.mark.parametrize("narrow", [8, 0])
+def test_hashes_tell_missing_values_and_zeros_apart(rows, monkeypatch, narrow):
+    monkeypatch.setattr(compare, "NARROW", narrow)
+    schema = "a string, b string, x double"
+    left = rows(schema, (None, "v", 0.0), ("v", None, 1.0), ("v", None, 1.0), ("k", "k", -0.0))
+    right = rows(schema, ("v", None, 1.0), ("k", "k", 0.0), ("k", "k", float("nan")), (None, None, None))
+    got = {(r.a, r.b, r.x, r._side): r._n for r in differing_rows(left, right).collect()}
+    assert got == {(None, "v", 0.0, 0): 1, ("v", None, 1.0, 0): 1, ("k", "k", None, 1): 1, (None, None, None, 1): 1}
+
+
+@pytest.mark.parametrize("k", [1001, 5000, 100_000])
+def test_large_k_is_ranked_over_partitions(spark, k):
+    """A column of patterns that occur once, and one with repeated counts."""
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "220")
+    try:
+        one = spark.range(120_000).select(F.lit("once").alias("column_name"), F.md5(F.col("id").cast("string")).alias("left_value"), F.lit("r").alias("right_value"), F.lit("value_mismatch").alias("class"), F.lit(1).cast("bigint").alias("n"))
+        two = spark.range(3_000).select(F.lit("many").alias("column_name"), F.col("id").cast("string").alias("left_value"), F.lit("r").alias("right_value"), F.lit("value_mismatch").alias("class"), (F.col("id") % 7 + 1).alias("n"))
+        divs = one.unionByName(two)
+        top = compare.top_patterns(divs, k)
+        got = {c: [r.left_value for r in top.where(F.col("column_name") == c).orderBy("rank").collect()] for c in ("once", "many")}
+        want = {c: [r.left_value for r in divs.where(F.col("column_name") == c).orderBy(F.desc("n"), "left_value").limit(k).collect()] for c in ("once", "many")}
+        assert got == want
+        # one file per task that ordered
+        most = max(parquet.read_metadata(f.removeprefix("file:")).num_rows for f in top.inputFiles())
+        assert most <= 123_000 / 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
