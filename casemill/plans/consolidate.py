@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from ..functions.text import (
     last_line,
     normalize_or_null,
     normalize_text,
+    only_digits,
     remap,
     remove_literal,
     reorder_name,
@@ -41,12 +43,12 @@ from ..operators.lookups import (
     remap_by_rules,
     replace_if_found,
 )
-from ..operators.metrics import distinct_values, rows_by, unresolved_rows
+from ..operators.metrics import distinct_values, rows_by
 from ..operators.shape import align, aligned_concat, column_or, concat, drop_if_present, rename
 from ..operators.shape import with_constants
 from ..schemas import INDICATORS, indicators_schema
 from ..sources.rules import ServiceCatalogue
-from ..sources.sinks import write_report, write_snapshots
+from ..sources.sinks import write_counted, write_snapshots
 from .exports import (
     CASE_DATES,
     HELPDESK_DROPPED,
@@ -153,14 +155,8 @@ def prepare_inventory(
     if seen is None:
         df = fill_display_names(df, identity.index)
     else:
-        names = [c for c in ("usuariofinal", "responsable") if c in df.columns]
-        df = df.withColumns({f"_no_{c}": F.col(c).isNull() for c in names})
-        df = fill_display_names(df, identity.index)
-        found = {v: F.count_if(F.col(outcome) == v) for v in ("master", "directory", "unresolved")}
-        filled = {f"{c}_filled": F.count_if(F.col(f"_no_{c}") & F.col(c).isNotNull()) for c in names}
-        counts = {"candidates": F.count(outcome), **found, **filled}
-        df = df.observe(seen, *[c.alias(n) for n, c in counts.items()])
-        df = df.drop(outcome, *[f"_no_{c}" for c in names])
+        df, counts = _with_outcomes(df, identity, outcome)
+        df = df.observe(seen, *counts).drop(outcome, *_MISSING)
     df = apply_overrides(df, identity.overrides)
     df = overwrite(
         df, identity.owners_by_username, normalize_text(F.col("username_resp")), "key", "value",
@@ -173,6 +169,36 @@ def prepare_inventory(
     return df.fillna({"origen_caso": settings.inventory_origin})
 
 
+_MISSING = ("_no_usuariofinal", "_no_responsable")
+
+
+def _with_outcomes(df: DataFrame, identity: Identity, outcome: str) -> tuple[DataFrame, list[Column]]:
+    """Names filled in rows whose ids are resolved, and the counts of A5 over them."""
+    names = [c for c in ("usuariofinal", "responsable") if c in df.columns]
+    df = df.withColumns({f"_no_{c}": F.col(c).isNull() for c in names})
+    df = fill_display_names(df, identity.index)
+    found = [F.count_if(F.col(outcome) == v).alias(v) for v in ("master", "directory", "unresolved")]
+    filled = [F.count_if(F.col(f"_no_{c}") & F.col(c).isNotNull()).alias(f"{c}_filled") for c in names]
+    return df, [F.count(outcome).alias("candidates"), *found, *filled]
+
+
+def identity_counts(inventory: DataFrame, identity: Identity) -> DataFrame:
+    """A5: one row with the candidates, where they were found, and names filled, in one pass."""
+    resolved = resolve_ids(_typed(inventory), identity.index, identity.directory, outcome="_outcome")
+    df, counts = _with_outcomes(resolved, identity, "_outcome")
+    return df.agg(*counts)
+
+
+def _observed(seen: Observation, otherwise: DataFrame) -> dict[str, int]:
+    """What was counted while the rows went by. Where no row of a branch gets past it, Spark may
+    drop the branch at run time and its counts with it; then they are counted by themselves."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = otherwise.first().asDict()
+    return {name: int(value) for name, value in found.items()}
+
+
 def prepare_itsm(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Changes, requests and incidents as they come."""
     return concat([_typed(frames[k]) for k in ("cambios", "requerimientos", "incidentes")])
@@ -393,23 +419,27 @@ def run_consolidation(
     settings: Settings | None = None,
     snapshots: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the table. The identity counts are taken while it is written, the other run
-    metrics read the written columns they need."""
+    """Write the table. Rows, unresolved rows and the identity counts are taken while it is
+    written; the others read the one written column that they need."""
     settings = settings or Settings()
     seen = Observation("identity")
     frames = prepare_all(sources, identity, catalogue, settings, seen)
     result = finalise(frames, identity, catalogue, settings)
-    write_report(result, output, INDICATORS)
+    unresolved = F.count_if(only_digits(F.col("username_ufinal")))
+    _, counts = write_counted(result, output, INDICATORS, unresolved=unresolved)
     if snapshots:
         write_snapshots(frames, snapshots, "consolidation")
     spark = result.sparkSession
     written = spark.read.parquet(output)
-    counts = {k: int(v) for k, v in seen.get.items()}
+
+    def row(values: Mapping[str, int]) -> DataFrame:
+        return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} bigint" for k in values))
+
     return {
         "indicators": written,
-        "total_rows": written.agg(F.count(F.lit(1)).alias("total_rows")),
-        "identity": spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} bigint" for k in counts)),
+        "total_rows": row({"total_rows": counts["rows"]}),
+        "identity": row(_observed(seen, identity_counts(sources.inventory, identity))),
         "rows_by_origin": rows_by(written),
         "distinct_services": distinct_values(written),
-        "unresolved": unresolved_rows(written),
+        "unresolved": row({"unresolved_rows": counts["unresolved"]}),
     }

@@ -17,7 +17,7 @@ from ..operators.lookups import remap_by_rules
 from ..operators.shape import align, concat, drop_if_present, rename, with_constants
 from ..schemas import PROVISIONAL, TASKS, provisional_schema, tasks_schema
 from ..sources.rules import ServiceCatalogue
-from ..sources.sinks import write_report
+from ..sources.sinks import write_counted
 from .exports import (
     CASE_DATES,
     EXTENDED_CASE_NAMES,
@@ -120,14 +120,13 @@ def run_service_reports(
     folder: str,
     settings: ReportSettings | None = None,
 ) -> dict[str, WrittenReport]:
-    """Write both reports; their rows are counted from the written files."""
-    spark = tasks.sparkSession
-    written = {
-        "provisional": write_report(
-            provisional_report(exports, catalogue, settings), f"{folder}/provisional", PROVISIONAL
-        ),
-        "tasks": write_report(task_report(tasks, catalogue, settings), f"{folder}/tasks", TASKS),
-    }
-    return {
-        name: WrittenReport(path, spark.read.parquet(path).count()) for name, path in written.items()
+    """Write both reports; their rows are counted while they are written."""
+    reports = {
+        "provisional": (provisional_report(exports, catalogue, settings), PROVISIONAL),
+        "tasks": (task_report(tasks, catalogue, settings), TASKS),
     }
+    written = {}
+    for name, (df, columns) in reports.items():
+        path, counts = write_counted(df, f"{folder}/{name}", columns)
+        written[name] = WrittenReport(path, counts["rows"])
+    return written

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark import SparkContext
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -17,7 +18,7 @@ from ..operators.metrics import daily_counts
 from ..operators.positions import counted_codes, encode_columns
 from ..operators.shape import drop_if_present
 from ..session import cut, temporary_cuts
-from ..sources.sinks import write_report
+from ..sources.sinks import write_counted
 
 # Splits, windows and the columns of the training matrix.
 REGRESSION_TRAIN, REGRESSION_SEED = 78, 1000
@@ -128,7 +129,8 @@ def linear_fit(train: DataFrame, x: str = "fecha", y: str = "cantidadCasos") ->
 def polynomial_fit(train: DataFrame, x: str = "fecha", y: str = "cantidadCasos", degree: int = DEGREE):
     """M7: the fitted model; ``score_polynomial`` applies it."""
     data = _powers(train, x, degree).withColumn("label", F.col(y).cast("double"))
-    return LinearRegression(featuresCol="powers", labelCol="label", solver="normal").fit(data)
+    model = LinearRegression(featuresCol="powers", labelCol="label", solver="normal").fit(data)
+    return _without_summary(model)
 
 
 def score_polynomial(model, df: DataFrame, x: str = "fecha", degree: int = DEGREE) -> DataFrame:
@@ -157,7 +159,15 @@ def logistic_fit(train: DataFrame, n: int, features=FEATURES, label: str = "CUMP
         standardization=False,
         maxIter=100,
     )
-    return model.fit(assemble(train, features))
+    return _without_summary(model.fit(assemble(train, features)))
+
+
+def _without_summary(model):
+    """The model alone: its training summary keeps the session, which can't go to tasks with the
+    model once the session has observed a query."""
+    option = SparkContext._active_spark_context._jvm.scala.Option
+    model._java_obj.setSummary(option.apply(None))
+    return model
 
 
 def assemble(df: DataFrame, features=FEATURES) -> DataFrame:
@@ -239,19 +249,19 @@ def run_models(
     with temporary_cuts(spark):
         daily = cut(daily_volume(indicators))
         chosen = training_rows(indicators, *training, case_type, project)
-        written = {
-            name: spark.read.parquet(write_report(df, f"{folder}/{name}"))
-            for name, df in (
-                ("period_training", volume_of_period(daily, *training)),
-                ("period_next", volume_of_period(daily, *following)),
-                ("matrix", training_matrix(chosen)),
-            )
-        }
+        written, rows = {}, {}
+        for name, df in (
+            ("period_training", volume_of_period(daily, *training)),
+            ("period_next", volume_of_period(daily, *following)),
+            ("matrix", training_matrix(chosen)),
+        ):
+            path, counts = write_counted(df, f"{folder}/{name}")
+            written[name], rows[name] = spark.read.parquet(path), counts["rows"]
         regressions = train_regressions(written["period_training"])
         return replace(
             train_logistic(written["matrix"]),
             linear_r2=regressions.linear_r2,
             polynomial_r2=regressions.polynomial_r2,
             polynomial_rmse=regressions.polynomial_rmse,
-            rows={name: df.count() for name, df in written.items()},
+            rows=rows,
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..operators.metrics import distinct_values, rows_by, unresolved_rows
 from ..plans import consolidate as plan
 from ..plans import profile, service_reports
+from ..session import scratch_path
 from ..sources import rules
 from .base import query, stand_in, table
 from .columns import (
@@ -349,6 +350,30 @@ def _(spark, sf):
     return unresolved_rows(_consolidated(spark, sf))
 
 
+INVENTORY_IDS = f"""SELECT t.*, CASE WHEN regexp_full_match(trim(username_ufinal), '[0-9]+') THEN trim(username_ufinal) END AS id FROM ({INVENTORY}) t"""
+
+
+@query(
+    "e1_identity_stats",
+    f"""WITH by_id AS ({sql_last(MASTER, 'cedula', LAST)}), by_username AS ({sql_last(MASTER, 'username', LAST_ID)}),
+      r AS (SELECT id, m.username AS found, d.account, coalesce(m.nombre, t.usuariofinal) AS usuariofinal, t.responsable, t.username_resp,
+              coalesce(m.username, d.account, t.username_ufinal) AS username_ufinal
+            FROM ({INVENTORY_IDS}) t LEFT JOIN by_id m ON m.cedula = id LEFT JOIN ({DIRECTORY}) d ON d.employee_id = id AND m.username IS NULL)
+    SELECT count(id) AS candidates, count(*) FILTER (id IS NOT NULL AND found IS NOT NULL) AS master,
+      count(*) FILTER (id IS NOT NULL AND found IS NULL AND account IS NOT NULL) AS directory,
+      count(*) FILTER (id IS NOT NULL AND found IS NULL AND account IS NULL) AS unresolved,
+      count(*) FILTER (usuariofinal IS NULL AND u.nombre IS NOT NULL) AS usuariofinal_filled,
+      count(*) FILTER (responsable IS NULL AND o.nombre IS NOT NULL) AS responsable_filled
+    FROM r LEFT JOIN by_username u ON u.username = lower(trim(r.username_ufinal)) LEFT JOIN by_username o ON o.username = lower(trim(r.username_resp))""",
+)
+def _(spark, sf):
+    """Counted while the job writes its table."""
+    out = plan.run_consolidation(
+        sources(spark, sf), identity(spark, sf), rules.service_catalogue(**CATALOGUE), scratch_path(spark, "indicators"), SETTINGS
+    )
+    return out["identity"]
+
+
 # ---- service reports ------------------------------------------------------------------
 
 EXTENDED_HEADER = (
@@ -413,6 +438,20 @@ def _(spark, sf):
     return service_reports.task_report(tasks, rules.service_catalogue(**CATALOGUE), REPORT_SETTINGS)
 
 
+@query(
+    "e2_row_counts",
+    f"""SELECT 'provisional' AS report, count(*) AS rows FROM ({EXTENDED}) e UNION ALL SELECT 'tasks', count(*) FROM ({TASKS}) t""",
+)
+def _(spark, sf):
+    """Counted while both reports are written."""
+    cases = stand_in(spark, sf, EXTENDED)
+    exports = {k: cases.where(cases.kind == k).drop("kind").toDF(*EXTENDED_HEADER) for k in ("incidentes", "requerimientos", "cambios")}
+    written = service_reports.run_service_reports(
+        exports, _headed(spark, sf, TASKS, TASK_HEADER), rules.service_catalogue(**CATALOGUE), scratch_path(spark, "reports"), REPORT_SETTINGS
+    )
+    return spark.createDataFrame([(name, w.rows) for name, w in written.items()], "report string, rows bigint")
+
+
 # ---- profile ----------------------------------------------------------------------------
 
 

@@ -1,3 +1,4 @@
+import os
 import tempfile
 
 import pytest
@@ -119,6 +120,36 @@ def test_report_sink(rows, spark, folder):
         sinks.write_report(df, path, ["b", "a"], overwrite=False)
 
 
+def test_a_write_that_fails_leaves_the_old_table(rows, spark, folder):
+    path = sinks.write_interim(rows("a int", (1,), (2,)), f"{folder}/t")
+    bad = spark.range(0, 100, 1, 4).selectExpr("CAST(IF(id = 99, raise_error('no'), id) AS INT) AS a")
+    with pytest.raises(Exception, match="no"):
+        sinks.write_interim(bad, path)
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert os.listdir(folder) == ["t"]
+    # the new table may be made from the old one
+    sinks.write_interim(spark.read.parquet(path).selectExpr("a + 1 AS a"), path)
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == [2, 3]
+    with pytest.raises(FileExistsError, match="exists"):
+        sinks.write_interim(rows("a int", (1,)), path, overwrite=False)
+
+
+def test_a_replacement_left_between_its_renames_is_taken_up(rows, spark, folder):
+    path = sinks.write_interim(rows("a int", (1,)), f"{folder}/t")
+    os.rename(path, f"{path}{sinks.OLD}x")
+    rows("a int", (7,)).write.parquet(f"{path}{sinks.NEW}x")
+    sinks.recover(spark, path)
+    assert [r.a for r in spark.read.parquet(path).collect()] == [1] and os.listdir(folder) == ["t"]
+
+
+def test_rows_are_counted_while_they_are_written(rows, spark, folder):
+    from pyspark.sql import functions as F
+
+    path, counts = sinks.write_counted(rows("a int, b int", (1, 2), (3, None)), f"{folder}/t", ["b", "a"], missing=F.count_if(F.col("b").isNull()))
+    assert counts == {"rows": 2, "missing": 1} and spark.read.parquet(path).columns == ["b", "a"]
+    assert sinks.write_counted(rows("a int"), f"{folder}/e")[1] == {"rows": 0}
+
+
 def test_snapshot_failure_only_warns(rows, folder):
     good, bad = rows("a int", (1,)), rows("a int", (1,)).selectExpr("raise_error('no') AS a")
     assert list(sinks.write_snapshots({"good": good, "bad": bad}, folder, "p")) == ["good"]
