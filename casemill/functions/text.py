@@ -55,7 +55,9 @@ def strip_accents(c: Column) -> Column:
     pairs = F.str_to_map(
         F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in _LONGER.items())), F.lit("\x1e"), F.lit("\x1f")
     )
-    spelled = F.aggregate(F.map_entries(pairs), plain, lambda t, e: F.replace(t, e.key, e.value))
+    # only the characters that occur are looked up
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(f"({_MAY_SPELL})"), F.lit(1)))
+    spelled = F.aggregate(found, plain, lambda t, e: F.replace(t, e, F.coalesce(F.try_element_at(pairs, e), e)))
     return (
         F.when(F.octet_length(c) == F.char_length(c), c)
         .when(F.rlike(c, F.lit(_MAY_SPELL)), spelled)

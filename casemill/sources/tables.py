@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,54 @@ def jdbc_options(
     return options
 
 
+# cells of equal width that rows are counted in before they are joined to slices
+CELLS = 1000
+
+
+def slice_predicates(
+    ask: Callable[[str], Sequence[Row]], table: str, column: str, partitions: int
+) -> list[str]:
+    """Conditions on a whole-number column that cut a table into slices of about as many
+    rows. Every row meets exactly one of them; NULL belongs to the first.
+
+    ``ask`` runs a query in the database. Two aggregates are asked for: the column's bounds, and the
+    rows in at most ``CELLS`` cells between them, so a column with gaps or crowded parts is cut
+    where its rows are. What one value holds cannot be cut further.
+    """
+    low, high, rows = ask(f"SELECT min({column}) AS low, max({column}) AS high, count({column}) AS n FROM {table}")[0]
+    if not rows or partitions < 2 or low == high:
+        return ["1 = 1"]
+    low, high = int(low), int(high)
+    width = -(-(high - low + 1) // CELLS)
+    cell = f"floor(({column} - {low}) / {width}.0)"
+    counted = ask(f"SELECT {cell} AS cell, count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY {cell}")
+    edges, held = [], 0
+    for at, n in sorted((int(c), int(n)) for c, n in counted):
+        # a cell that would overfill its slice begins the next one
+        if held and held + n > rows / partitions:
+            edges.append(low + at * width)
+            held = 0
+        held += n
+    if not edges:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"{column} < {edges[0]} OR {column} IS NULL", *inner, f"{column} >= {edges[-1]}"]
+
+
+def read_in_slices(
+    spark: SparkSession, url: str, table: str, column: str, partitions: int, fetch_size: int = 10_000, **more: str
+) -> DataFrame:
+    """One table, in slices of a whole-number column that are found in the database."""
+    options = {"url": url, **more}
+
+    def ask(query: str) -> Sequence[Row]:
+        return spark.read.format("jdbc").options(**options).option("query", query).load().collect()
+
+    found = slice_predicates(ask, table, column, partitions)
+    properties = {"fetchsize": str(fetch_size), **more}
+    return spark.read.jdbc(url, table, predicates=found, properties=properties)
+
+
 def read_table(spark: SparkSession, **options) -> DataFrame:
     """One table or view. A stored procedure must be offered as a view."""
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()

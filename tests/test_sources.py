@@ -174,3 +174,22 @@ def test_employee_master(rows):
     posts = rows("cod_empl bigint", *[(1,)] * 5, (2,))
     out = tables.employee_master(employees, posts).collect()
     assert [tuple(r) for r in out] == [("Ana Peña", "1", "aperez")]
+
+
+def test_slices_follow_the_rows(spark):
+    """A crowded part, a wide gap, a value with many rows, missing ones."""
+    values = [*range(5000), *range(10**9, 10**9 + 900), *[77] * 3000, *[None] * 50, -5]
+    spark.createDataFrame([(v,) for v in values], "id bigint").createOrReplaceTempView("sliced")
+
+    def ask(query):
+        return spark.sql(query).collect()
+
+    found = tables.slice_predicates(ask, "sliced", "id", 8)
+    sizes = [ask(f"SELECT count(*) FROM sliced WHERE {p}")[0][0] for p in found]
+    assert sum(sizes) == len(values) and len(found) >= 2
+    spark.createDataFrame([(v * 7,) for v in range(8000)], "id bigint").createOrReplaceTempView("sliced")
+    even = tables.slice_predicates(ask, "sliced", "id", 8)
+    sizes = [ask(f"SELECT count(*) FROM sliced WHERE {p}")[0][0] for p in even]
+    assert len(even) >= 8 and sum(sizes) == 8000 and max(sizes) <= 1000
+    spark.createDataFrame([], "id bigint").createOrReplaceTempView("sliced")
+    assert tables.slice_predicates(ask, "sliced", "id", 8) == ["1 = 1"]
