@@ -36,14 +36,70 @@ START = -1
 #: Solved parts and checked neighbours a worker holds on to.
 PARTS, PAIRS = 400_000, 1_000_000
 SLICE = 512
+#: Ids that are decoded at once.
+DECODED = 1 << 18
 
 _machines: dict[str, "Transducer"] = {}
 
 
+def _fields(message: bytes):
+    """(number, value) of a protocol buffer message: whole numbers, or bytes."""
+    at, end = 0, len(message)
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < end:
+        tag = number()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, number()
+        else:
+            size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+            yield tag >> 3, message[at : at + size]
+            at += size
+
+
+# Field numbers of a model file and the kinds that are understood.
+PIECE, TRAINER, NORMALISER = 1, 2, 3
+MODEL_TYPE, BPE, SUFFIX_SPACE = 3, 2, 24
+CHARACTER_MAP, DUMMY_PREFIX, REMOVE_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
+PIECE_KIND, USER_DEFINED, UNUSED = 3, 4, 5
+
+
+def check_model(path: str) -> None:
+    """Refuse a model whose encoding this machine would get wrong: other than BPE, with a
+    normaliser of its own, with pieces that are matched before merging or left out of it."""
+    with open(path, "rb") as file:
+        parts = list(_fields(file.read()))
+    trainer = dict(f for n, v in parts if n == TRAINER for f in _fields(v))
+    normaliser = dict(f for n, v in parts if n == NORMALISER for f in _fields(v))
+    found = []
+    if trainer.get(MODEL_TYPE, 1) != BPE:
+        found.append("no BPE model")
+    if normaliser.get(CHARACTER_MAP) or normaliser.get(REMOVE_SPACES, 1):
+        found.append("a normaliser that changes characters or spaces")
+    if not normaliser.get(DUMMY_PREFIX, 1) or not normaliser.get(ESCAPE_SPACES, 1) or trainer.get(SUFFIX_SPACE, 0):
+        found.append("spaces marked in another way")
+    if any(dict(_fields(v)).get(PIECE_KIND, 1) in (USER_DEFINED, UNUSED) for n, v in parts if n == PIECE):
+        found.append("user-defined or unused pieces")
+    if found:
+        raise ValueError(f"{path} isn't supported: {', '.join(found)}")
+
+
 def load(path: str = MODEL) -> list[tuple[str, float, str]]:
     """(piece, score, kind) by id; kind is normal, byte, unknown or control."""
     import sentencepiece
 
+    check_model(path)
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     kind = lambda i: "byte" if model.is_byte(i) else "unknown" if model.is_unknown(i) else "control" if model.is_control(i) else "normal"
     return [(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.vocab_size())]
@@ -73,6 +129,9 @@ class Transducer:
         falls_apart = all(SPACE not in p.lstrip(SPACE) for p in normal)
         self.part = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if falls_apart else r"(?s).+")
         self.out = [self._bytes(*v) for v in vocabulary]
+        self.blob = np.frombuffer(b"".join(self.out), np.uint8)
+        self.lengths = np.array([len(b) for b in self.out], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.parts: dict[str, bytes] = {}
         self.pairs: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
@@ -223,6 +282,17 @@ class Transducer:
         return text[1:] if text.startswith(" ") else text
 
 
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The bytes that ids put out, without the space that encoding puts first."""
+        out = []
+        for at in range(0, len(ids), DECODED):
+            part = ids[at : at + DECODED]
+            size = self.lengths[part]
+            ends = np.cumsum(size)
+            out.append(self.blob[np.repeat(self.starts[part] - ends + size, size) + np.arange(ends[-1])].tobytes())
+        return b"".join(out).removeprefix(b" ")
+
+
 def _machine(shared):
     name, vocabulary = shared.value
     if name not in _machines:
@@ -257,15 +327,39 @@ def _decode(shared, names):
     return run
 
 
-def _mapped(docs: DataFrame, source: str, as_source: str, result: str, kind: str, as_column: str, run, path: str) -> DataFrame:
+def _round_trip(shared, names):
+    """Ids and, from them, the text again, in one pass."""
+    space = SPACE.encode()
+
+    def run(batches):
+        machine = _machine(shared)
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                ids, same = [], []
+                for text in part.column("_text").to_pylist():
+                    own = machine.encode(text or "")
+                    ids.append(own)
+                    same.append(machine.decoded(own) == (text or "").encode().replace(space, b" "))
+                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c) for c in names] + [kernel.lists(flat, offsets, pa.int32()), pa.array(same, pa.bool_())], names=[*names, "_ids", "_same"]
+                )
+
+    return run
+
+
+def _mapped(docs: DataFrame, keep: list[str], source: str, as_source: str, made: dict[str, tuple[str, str]], run, path: str) -> DataFrame:
+    """Columns ``keep`` and what ``run`` makes of ``source``; ``made``: column -> (inner name, type)."""
     spark = ship(docs.sparkSession)
-    names = [c for c in docs.columns if c != as_column]
+    names = [c for c in keep if c not in made]
     own = [f"c{i}" for i in range(len(names))]
-    inner = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(names, own)], F.col(source).alias(as_source))
-    kinds = ", ".join(f"{c} {inner.schema[c].dataType.simpleString()}" for c in own)
+    inner = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(names, own)], F.col(f"`{source}`").alias(as_source))
+    kinds = [f"{c} {inner.schema[c].dataType.simpleString()}" for c in own]
     shared = spark.sparkContext.broadcast((path, load(path)))
-    out = inner.mapInArrow(run(shared, own), f"{kinds}, {result} {kind}")
-    return out.select(*[F.col(o).alias(c) for c, o in zip(names, own)], F.col(result).alias(as_column))
+    out = inner.mapInArrow(run(shared, own), ", ".join([*kinds, *[f"{name} {kind}" for name, kind in made.values()]]))
+    return out.select(*[F.col(o).alias(c) for c, o in zip(names, own)], *[F.col(name).alias(c) for c, (name, _) in made.items()])
 
 
 def encode(docs: DataFrame, text: str = "text", as_column: str = "ids", model: str = MODEL) -> DataFrame:
@@ -273,18 +367,19 @@ def encode(docs: DataFrame, text: str = "text", as_column: str = "ids", model: s
 
     Null and empty texts have no ids. Texts of any length are encoded whole, repeated rows one by
     one. A literal U+2581 is read as a space, as the library does."""
-    return _mapped(docs, text, "_text", "_ids", "array<int>", as_column, _encode, model)
+    return _mapped(docs, docs.columns, text, "_text", {as_column: ("_ids", "array<int>")}, _encode, model)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", as_column: str = "decoded", model: str = MODEL) -> DataFrame:
     """``encoded`` with the text of each row's ids; null ids give null."""
-    return _mapped(encoded, ids, "_ids", "_decoded", "string", as_column, _decode, model)
+    return _mapped(encoded, encoded.columns, ids, "_ids", {as_column: ("_decoded", "string")}, _decode, model)
 
 
-def round_trip(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ids and whether decoding them gives the text again (spaces for U+2581)."""
-    back = decode(encode(docs, text, "ids"), "ids", "_decoded")
-    return back.withColumn("round_trip", F.col("_decoded") == F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(SPACE), F.lit(" "))).drop("_decoded")
+def round_trip(docs: DataFrame, text: str = "text", keep: list[str] | None = None, model: str = MODEL) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ids and whether decoding them gives the text again
+    (spaces for U+2581), in one pass. Columns ``ids`` and ``round_trip`` of ``docs`` are replaced."""
+    made = {"ids": ("_ids", "array<int>"), "round_trip": ("_same", "boolean")}
+    return _mapped(docs, docs.columns if keep is None else keep, text, "_text", made, _round_trip, model)
 
 
 NAME = "op9_sentencepiece_transducer"
@@ -292,7 +387,7 @@ SQL = None
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    coded = round_trip(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return coded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 

@@ -210,3 +210,23 @@ def test_pieces_equal_the_library(docs):
 def test_decoding_of_null_ids(spark):
     df = spark.createDataFrame([(None,), ([],)], "ids array<int>")
     assert [r.decoded for r in sentencepiece_wfst.decode(df).collect()] == [None, ""]
+
+
+def test_models_it_would_get_wrong_are_refused(tmp_path):
+    """The given model with another model type or normaliser in its file."""
+    raw = open(sentencepiece_wfst.MODEL, "rb").read()
+    assert sentencepiece_wfst.check_model(sentencepiece_wfst.MODEL) is None
+    trainer, normaliser = raw.index(b"\x06tok_v0\x18\x02") + 9, raw.rindex(b"\x18\x01 \x002")
+    for name, at, byte in (("unigram", trainer - 1, 1), ("spaces", normaliser + 3, 1), ("prefix", normaliser + 1, 0)):
+        changed = bytearray(raw)
+        assert changed[at] != byte
+        changed[at] = byte
+        path = tmp_path / f"{name}.model"
+        path.write_bytes(changed)
+        with pytest.raises(ValueError, match="isn't supported"):
+            sentencepiece_wfst.load(str(path))
+
+
+def test_round_trip_keeps_what_is_asked_for(spark, docs):
+    coded = sentencepiece_wfst.round_trip(docs("one two", None, "▁x " * 5, "é" * 90_000).withColumn("round_trip", F.lit("old")), keep=["doc_id"])
+    assert coded.columns == ["doc_id", "ids", "round_trip"] and all(r.round_trip is True for r in coded.collect())
