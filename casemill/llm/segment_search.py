@@ -29,8 +29,10 @@ from .tables import ship, table
 
 BLOCK = 4096
 RESOLUTIONS = (4, 16)
-#: Components of this size and above would overflow an exact 64-bit inner product.
-LARGEST = 1 << 26
+#: A squared length up to which all inner products fit in 64 bits.
+LARGEST = float(1 << 62)
+#: Components up to which vectors travel in 32 bits each.
+SHORT = 1 << 31
 
 
 def _integers(scale: float):
@@ -44,13 +46,18 @@ def _integers(scale: float):
                 v = vectors[i]
                 if not known[i] or not v.is_valid or v.values.null_count:
                     continue
-                x = np.floor(np.asarray(v.values, dtype=np.float64) * scale)
-                if len(x) and not np.all(np.abs(x) < LARGEST):  # also NaN and infinity
+                x = np.asarray(v.values, dtype=np.float64)
+                if not np.all(np.isfinite(x)):
                     continue
+                with np.errstate(over="ignore"):
+                    x = np.floor(x * scale)
+                    length = float(x @ x)
+                if not length <= LARGEST:
+                    raise ValueError(f"vector {int(ids[i])} is too long for exact 64-bit inner products")
                 out["id"].append(int(ids[i]))
                 out["query"].append(bool(query[i]))
                 out["dim"].append(len(x))
-                out["v"].append(x.astype(np.int32).tobytes())
+                out["v"].append(x.astype(np.int32 if np.all(np.abs(x) < SHORT) else np.int64).tobytes())
             yield kernel.rows(
                 id=pa.array(out["id"], pa.int64()), query=pa.array(out["query"], pa.bool_()),
                 dim=pa.array(out["dim"], pa.int32()), v=kernel.binaries(out["v"]),
@@ -116,8 +123,11 @@ def _search(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         def matrix(t, dim):
             t = t.filter(pa.compute.equal(t["dim"], dim))
-            raw = b"".join(t["v"].to_pylist())
-            return np.asarray(t["id"]), np.frombuffer(raw, np.int32).reshape(len(t), dim).astype(np.int64), t
+            blobs = t["v"].to_pylist()
+            if any(len(v) != 4 * dim for v in blobs):  # some are 64 bits wide
+                rows = [np.frombuffer(v, np.int32 if len(v) == 4 * dim else np.int64).astype(np.int64) for v in blobs]
+                return np.asarray(t["id"]), np.stack(rows), t
+            return np.asarray(t["id"]), np.frombuffer(b"".join(blobs), np.int32).reshape(len(t), dim).astype(np.int64), t
 
         found = {"query_id": [], "query_key": [], "vec_id": [], "score": []}
         for dim in sorted(set(queries["dim"].to_pylist())):
@@ -138,8 +148,9 @@ def top_k(vectors: DataFrame, id_column: str, vector_column: str, is_query: Colu
     """Each query's k highest integer inner products among all other rows.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; fewer rows if
-    there are fewer candidates. A row whose id or vector is null, or that has a null, non-finite or
-    huge (floor(scale * x) of 2**26 and above) component takes no part. Rows with the query's id
+    there are fewer candidates. A row whose id or vector is null, or that has a null or non-finite
+    component takes no part. A vector so long that an inner product could leave 64 bits stops the
+    search. Rows with the query's id
     are its own and no candidates. Vectors of other lengths don't compare. Repeated rows are
     candidates one by one; repeated query rows with equal vectors are answered once, with other
     vectors each for itself. Empty input gives no rows.

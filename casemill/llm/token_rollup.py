@@ -24,7 +24,7 @@ from .tables import scratch_path, ship, table
 
 KEYS = ("source", "lang", "tokenizer")
 SUMS = ("documents", "tokens", "bytes")
-COMMITS = "batch string, sequence long, path string"
+COMMITS = "batch string, sequence long, path string, compacted boolean"
 
 
 def pattern_tokens(pattern: str) -> Callable[[Column], Column]:
@@ -70,25 +70,25 @@ class Rollup:
         self.spark, self.folder = ship(spark), folder
         self.versions = VERSIONS if versions is None else versions
 
-    def commits(self) -> list[tuple[str, int, str]]:
-        """(batch, sequence, path) of what counts, in order: since the last compaction."""
+    def commits(self) -> list[tuple[str, int, str, bool]]:
+        """(batch, sequence, path, compacted) of all commit records, in order."""
         jvm = self.spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/commits")
         files = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not files.exists(where):
             return []
         rows = self.spark.read.schema(COMMITS).parquet(f"{self.folder}/commits").collect()  # one row per batch
-        return sorted(((r.batch, r.sequence, r.path) for r in rows), key=lambda c: c[1])
+        return sorted(((r.batch, r.sequence, r.path, bool(r.compacted)) for r in rows), key=lambda c: c[1])
 
     def _live(self) -> list[str]:
         paths: list[str] = []
-        for batch, _, path in self.commits():
-            paths = [path] if batch.startswith("compacted:") else [*paths, path]
+        for _, _, path, compacted in self.commits():
+            paths = [path] if compacted else [*paths, path]
         return paths
 
-    def _commit(self, batch: str, path: str) -> None:
-        last = max((s for _, s, _ in self.commits()), default=-1)
-        self.spark.createDataFrame([(batch, last + 1, path)], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
+    def _commit(self, batch: str, path: str, compacted: bool = False) -> None:
+        last = max((c[1] for c in self.commits()), default=-1)
+        self.spark.createDataFrame([(batch, last + 1, path, compacted)], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
 
     def ledger(self) -> DataFrame:
         """The last committed entry of each document: id, source, lang, bytes, counts; deleted ones
@@ -119,7 +119,7 @@ class Rollup:
         before others and then the greatest by (source, lang, text), so the order of rows doesn't
         matter. Rows without doc_id or with another op are left out; a null text has no tokens and
         no bytes; null source and language are groups of their own. An empty batch is committed."""
-        if any(b == batch for b, _, _ in self.commits()):
+        if any(c[0] == batch and not c[3] for c in self.commits()):
             return False
         known = changes.where(F.col("doc_id").isNotNull() & F.col("op").isin("insert", "revise", "delete"))
         text = F.coalesce(F.col("text"), F.lit(""))
@@ -153,11 +153,10 @@ class Rollup:
 
     def compact(self) -> None:
         """Replace the committed batches by one with the same totals and ledger."""
-        name = f"compacted:{len(self.commits())}"
         path = f"{self.folder}/batches/{uuid.uuid4().hex}"
         self.ledger().write.parquet(f"{path}/ledger")
         self.totals().write.parquet(f"{path}/deltas")
-        self._commit(name, path)
+        self._commit("compacted", path, compacted=True)
 
 
 NAME = "op1_token_counts"

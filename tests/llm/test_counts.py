@@ -167,3 +167,13 @@ def test_small_payloads_and_empty_tables(spark):
     got = warc.read_warc(warc.write_warc(pages, scratch_path(spark, "w"), min_bytes=5)).collect()
     assert {r.page_id: r.record_type for r in got} == {1: "response", 2: "response", 3: "response", 4: "revisit"}
     assert warc.read_warc(warc.write_warc(pages.limit(0), scratch_path(spark, "w"))).count() == 0
+
+
+def test_a_batch_may_have_any_name(spark):
+    rollup = token_rollup.Rollup(spark, scratch_path(spark, "rollup"))
+    row = lambda i: spark.createDataFrame([("insert", i, "s", "en", "a b")], CHANGE)
+    assert rollup.apply("b1", row(1)) and rollup.apply("compacted:x", row(2)) and rollup.apply("compacted", row(3))
+    assert totals(rollup) == {("s", "en"): (3, 6, 9)}
+    rollup.compact()
+    assert not rollup.apply("compacted", row(4)) and rollup.apply("b2", row(4))
+    assert totals(rollup) == {("s", "en"): (4, 8, 12)}
