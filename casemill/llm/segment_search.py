@@ -29,10 +29,8 @@ from .tables import ship, table
 
 BLOCK = 4096
 RESOLUTIONS = (4, 16)
-#: A squared length up to which all inner products fit in 64 bits.
+#: Below this squared length all inner products fit in 64 bits, and components in 32.
 LARGEST = float(1 << 62)
-#: Components up to which vectors travel in 32 bits each.
-SHORT = 1 << 31
 
 
 def _integers(scale: float):
@@ -52,12 +50,12 @@ def _integers(scale: float):
                 with np.errstate(over="ignore"):
                     x = np.floor(x * scale)
                     length = float(x @ x)
-                if not length <= LARGEST:
+                if not length < LARGEST:
                     raise ValueError(f"vector {int(ids[i])} is too long for exact 64-bit inner products")
                 out["id"].append(int(ids[i]))
                 out["query"].append(bool(query[i]))
                 out["dim"].append(len(x))
-                out["v"].append(x.astype(np.int32 if np.all(np.abs(x) < SHORT) else np.int64).tobytes())
+                out["v"].append(x.astype(np.int32).tobytes())
             yield kernel.rows(
                 id=pa.array(out["id"], pa.int64()), query=pa.array(out["query"], pa.bool_()),
                 dim=pa.array(out["dim"], pa.int32()), v=kernel.binaries(out["v"]),
@@ -123,11 +121,8 @@ def _search(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         def matrix(t, dim):
             t = t.filter(pa.compute.equal(t["dim"], dim))
-            blobs = t["v"].to_pylist()
-            if any(len(v) != 4 * dim for v in blobs):  # some are 64 bits wide
-                rows = [np.frombuffer(v, np.int32 if len(v) == 4 * dim else np.int64).astype(np.int64) for v in blobs]
-                return np.asarray(t["id"]), np.stack(rows), t
-            return np.asarray(t["id"]), np.frombuffer(b"".join(blobs), np.int32).reshape(len(t), dim).astype(np.int64), t
+            raw = b"".join(t["v"].to_pylist())
+            return np.asarray(t["id"]), np.frombuffer(raw, np.int32).reshape(len(t), dim).astype(np.int64), t
 
         found = {"query_id": [], "query_key": [], "vec_id": [], "score": []}
         for dim in sorted(set(queries["dim"].to_pylist())):

