@@ -398,6 +398,19 @@ SELECT CASE l_returnflag WHEN 'A' THEN 'incidentes' WHEN 'N' THEN 'requerimiento
        'autor' AS autor, '10' AS progreso, 'asunto' AS asunto
 FROM {{lineitem}}
 """
+# each export reads its own rows: the filter on the flag reaches the scan
+EXTENDED_PARTS = {
+    "incidentes": "l_returnflag = 'A'",
+    "requerimientos": "l_returnflag = 'N'",
+    "cambios": "(l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'N'))",
+}
+
+
+def extended_exports(spark, sf):
+    parts = {kind: stand_in(spark, sf, f"{EXTENDED} WHERE {part}") for kind, part in EXTENDED_PARTS.items()}
+    return {kind: df.drop("kind").toDF(*EXTENDED_HEADER) for kind, df in parts.items()}
+
+
 REPORT_SETTINGS = service_reports.ReportSettings(
     defaults={"razon": "Nuevo", "servicio_agros": "No Aplica", "ubicacion": "Sede"}
 )
@@ -416,11 +429,7 @@ SLACK = sql_minutes(sql_date("atencion"), sql_date("estimada"))
         CASE WHEN {sql_date('solucion')} IS NULL THEN 'Abierto' ELSE 'Cerrado' END AS estado_caso FROM ({EXTENDED}) e""",
 )
 def _(spark, sf):
-    cases = stand_in(spark, sf, EXTENDED)
-    exports = {
-        kind: cases.where(cases.kind == kind).drop("kind").toDF(*EXTENDED_HEADER)
-        for kind in ("incidentes", "requerimientos", "cambios")
-    }
+    exports = extended_exports(spark, sf)
     return service_reports.provisional_report(exports, rules.service_catalogue(**CATALOGUE), REPORT_SETTINGS)
 
 
@@ -444,8 +453,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Counted while both reports are written."""
-    cases = stand_in(spark, sf, EXTENDED)
-    exports = {k: cases.where(cases.kind == k).drop("kind").toDF(*EXTENDED_HEADER) for k in ("incidentes", "requerimientos", "cambios")}
+    exports = extended_exports(spark, sf)
     written = service_reports.run_service_reports(
         exports, _headed(spark, sf, TASKS, TASK_HEADER), rules.service_catalogue(**CATALOGUE), scratch_path(spark, "reports"), REPORT_SETTINGS
     )
