@@ -177,3 +177,36 @@ def test_a_batch_may_have_any_name(spark):
     rollup.compact()
     assert not rollup.apply("compacted", row(4)) and rollup.apply("b2", row(4))
     assert totals(rollup) == {("s", "en"): (4, 8, 12)}
+
+
+@pytest.mark.parametrize("capacity", [None, 150])
+def test_language_model_counts_every_ngram(docs, prose, monkeypatch, capacity):
+    """Also pairs seen once and, with a small filter, all levels that have no room in it."""
+    if capacity:
+        monkeypatch.setattr(bloom_lm, "CAPACITY", capacity)
+    texts = [(i, prose(i % 9, 25, "abc") + f" only{i} once{i}") for i in range(30)] + [(40, None), (41, prose(3, 25, "abc") + " only3 once3")]
+    train = texts[:26]
+    learned = model, _ = bloom_lm.learn(docs(*train))
+    assert (model.lowest[0] > 1 and model.lowest[1] > 2) == bool(capacity)
+    got = {r.doc_id: r for r in bloom_lm.score(docs(*texts), learned, {"doc_id": F.col("doc_id")}).collect()}
+    words = lambda t: [*(t or "").split(), "</s>"]
+    ones, twos = Counter(), Counter()
+    for _, t in train:
+        own = words(t)
+        ones.update(["<s>", *own])
+        twos.update(zip(["<s>", *own], own))
+    total = sum(n for w, n in ones.items() if w != "<s>")
+
+    def mean(counts, key):
+        same = [n for n in counts.values() if n.bit_length() == counts[key].bit_length()]
+        return sum(same) / len(same) if counts[key] else 0
+
+    def one(before, word):
+        context, pair = mean(ones, before), mean(twos, (before, word))
+        w = model.weights[ones[before].bit_length()]
+        return math.log10(w * min(1, pair / max(context, 1)) + (1 - w) * (mean(ones, word) + 0.1) / (total + 0.1 * len(ones)))
+
+    assert len(got) == len(texts)
+    for i, t in texts:
+        own = words(t)
+        assert got[i].score == pytest.approx(sum(map(one, ["<s>", *own], own)), rel=1e-9)
