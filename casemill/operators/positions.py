@@ -22,11 +22,11 @@ PARTITION_BYTES = 256 << 20
 MAX_PARTITIONS = 100_000
 
 
-def _range_partitions(df: DataFrame) -> int:
-    """At least the session's number; more where the estimated size asks for it."""
-    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def range_partitions(df: DataFrame, each: int = PARTITION_BYTES, least: int | None = None) -> int:
+    """At least the session's number (or ``least``); more where the estimated size asks for it."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if least is None else least
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(usual, min(-(-size // PARTITION_BYTES), MAX_PARTITIONS))
+    return max(usual, min(-(-size // each), MAX_PARTITIONS))
 
 
 def add_positions(
@@ -38,7 +38,7 @@ def add_positions(
     numbered rows are cut to the shared folder, so that the partition sizes and the rows they
     shift come from the same run.
     """
-    parts = _range_partitions(df)
+    parts = range_partitions(df)
     sort = [F.col(c).asc_nulls_first() for c in order]
     ranged = df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
     numbered = cut(ranged.withColumn("_id", F.monotonically_increasing_id()))

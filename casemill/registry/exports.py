@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.positions import range_partitions
 from ..operators.quality import check_fingerprint
 from ..session import scratch_path
 from ..sources import files
@@ -26,10 +27,14 @@ SELECT doc_id, lang, source, nullif(cell, 'N/A') AS cell, text FROM ({TEXT_CELLS
 """
 
 
+# what one file should hold by the planner's estimate; texts are several times as long as their tables
+FILE_BYTES = 8 << 20
+
+
 def write_csv(df: DataFrame, name: str, sep: str = ",", parts: int = 1) -> str:
-    """A folder of CSV files, all cells quoted."""
+    """A folder of CSV files, all cells quoted: ``parts`` of them, or as many as the rows ask for."""
     path = scratch_path(df.sparkSession, name)
-    df = df.repartition(parts) if parts > 1 else df
+    df = df.repartition(max(parts, range_partitions(df, FILE_BYTES, 1))) if parts > 1 else df
     df.write.option("header", True).option("sep", sep).option("escape", '"').option("quoteAll", True).csv(path)
     return path
 

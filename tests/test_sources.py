@@ -193,3 +193,14 @@ def test_slices_follow_the_rows(spark):
     assert len(even) >= 8 and sum(sizes) == 8000 and max(sizes) <= 1000
     spark.createDataFrame([], "id bigint").createOrReplaceTempView("sliced")
     assert tables.slice_predicates(ask, "sliced", "id", 8) == ["1 = 1"]
+
+
+def test_exports_have_as_many_files_as_their_size_asks_for(spark, tmp_path):
+    from pathlib import Path
+
+    from casemill.registry import exports
+
+    spark.range(2_000_000).selectExpr("CAST(id AS STRING) AS a", "CAST(id * 7 AS STRING) AS b").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    files = lambda df: len(list(Path(exports.write_csv(df, "x", parts=2).removeprefix("file:")).glob("part-*")))
+    assert files(rows) > 2 and files(rows.limit(10)) <= 2
