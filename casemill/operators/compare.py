@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut
-from .positions import add_positions
+from .positions import add_positions, range_partitions
 
 # Tolerance, number of patterns kept, and the text shown for a missing value.
 ATOL, RTOL = 1e-3, 1e-5
@@ -145,6 +145,10 @@ def key_mismatches(differing: DataFrame, keys: Sequence[str]) -> DataFrame:
     return balance.agg(total(1).alias("only_left"), total(-1).alias("only_right"))
 
 
+# what one task pairs by the planner's estimate of the written rows; the windows hold many times as much
+PAIRED_BYTES = 8 << 20
+
+
 def pair_rows(differing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Q7: (l, r, n): the rows at the same place on both sides, and how many such pairs.
 
@@ -171,7 +175,7 @@ def pair_rows(differing: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.greatest("_start", F.col("_block") * BLOCK).alias("_from"),
         F.least(last + 1, (F.col("_block") + 1) * BLOCK).alias("_to"),
         F.struct(*[f"`{c}`" for c in columns]).alias("_row"),
-    )
+    ).repartition(range_partitions(differing, PAIRED_BYTES), "_block")
     by_block = Window.partitionBy("_block")
     so_far = by_block.orderBy("_from")  # a RANGE frame: rows that start together see each other
     in_turn = by_block.orderBy("_from", "_side")

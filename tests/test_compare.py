@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -115,3 +116,17 @@ def test_large_k_is_ranked_over_partitions(spark, k):
         assert most <= 123_000 / 100
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pairs_are_dealt_out_by_their_size(spark, rows, monkeypatch):
+    """Tasks that pair rows get no more where there are more rows."""
+    from casemill.operators import compare
+    from casemill.session import cut
+
+    monkeypatch.setattr(compare, "PAIRED_BYTES", 64)
+    left = rows("origen_caso string, numero_caso bigint, v string", *[("x", i, "a") for i in range(50)])
+    right = rows("origen_caso string, numero_caso bigint, v string", *[("x", i, "b") for i in range(50)])
+    pairs = compare.pair_rows(cut(compare.differing_rows(left, right)), ["origen_caso", "numero_caso"])
+    dealt = str(pairs._jdf.queryExecution().optimizedPlan())
+    found = [int(x) for x in re.findall(r"RepartitionByExpression \[_block\S*\], (\d+)", dealt)]
+    assert found and found[0] > int(spark.conf.get("spark.sql.shuffle.partitions")) and pairs.count() == 50
