@@ -33,9 +33,9 @@ from .tables import ship, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 START = -1
-#: Solved parts and checked neighbours a worker holds on to.
-PARTS, PAIRS = 400_000, 1_000_000
-SLICE = 512
+#: Solved parts (twice as many: recent ones and those before) and checked neighbours a worker holds on to.
+PARTS, PAIRS = 50_000, 300_000
+SLICE = 128
 #: Ids that are decoded at once.
 DECODED = 1 << 18
 
@@ -133,6 +133,7 @@ class Transducer:
         self.lengths = np.array([len(b) for b in self.out], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
         self.sides: dict[tuple[int, bool], tuple] = {}
@@ -258,7 +259,11 @@ class Transducer:
     def solve(self, part: str) -> bytes:
         """The part's ids as 32-bit numbers."""
         if len(self.parts) >= PARTS:
-            self.parts.clear()
+            self.older, self.parts = self.parts, {}
+        known = self.older.get(part)
+        if known is not None:
+            self.parts[part] = known
+            return known
         ids: list[int] = []
         for i in self.shortest_path(part):
             if i >= 0:
@@ -273,8 +278,8 @@ class Transducer:
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        parts, solve = self.parts, self.solve
-        return np.frombuffer(b"".join([parts.get(p) or solve(p) for p in self.part.findall(SPACE + text.replace(" ", SPACE))]), np.int32)
+        solve = self.solve
+        return np.frombuffer(b"".join([self.parts.get(p) or solve(p) for p in self.part.findall(SPACE + text.replace(" ", SPACE))]), np.int32)
 
     def decode(self, ids) -> str:
         out = self.out
@@ -346,6 +351,8 @@ def _round_trip(shared, names):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in names] + [kernel.lists(flat, offsets, pa.int32()), pa.array(same, pa.bool_())], names=[*names, "_ids", "_same"]
                 )
+                del ids, flat, part
+            kernel.release()
 
     return run
 

@@ -230,3 +230,15 @@ def test_models_it_would_get_wrong_are_refused(tmp_path):
 def test_round_trip_keeps_what_is_asked_for(spark, docs):
     coded = sentencepiece_wfst.round_trip(docs("one two", None, "▁x " * 5, "é" * 90_000).withColumn("round_trip", F.lit("old")), keep=["doc_id"])
     assert coded.columns == ["doc_id", "ids", "round_trip"] and all(r.round_trip is True for r in coded.collect())
+
+
+def test_solved_parts_are_kept_within_bounds_and_give_the_same_ids(prose, monkeypatch):
+    from casemill.llm import sentencepiece_wfst as wfst
+
+    texts = [prose(k, 40) for k in range(30)] + ["again and again"] * 3
+    whole = wfst.Transducer(wfst.load())
+    want = [whole.encode(t).tolist() for t in texts]
+    monkeypatch.setattr(wfst, "PARTS", 25)
+    small = wfst.Transducer(wfst.load())
+    assert [small.encode(t).tolist() for t in texts] == want
+    assert len(small.parts) <= 25 and 0 < len(small.older) <= 25
