@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 START = -1
 #: Solved parts (twice as many: recent ones and those before) and checked neighbours a worker holds on to.
-PARTS, PAIRS = 50_000, 300_000
+PARTS, PAIRS = 100_000, 300_000
 SLICE = 128
 #: Ids that are decoded at once.
 DECODED = 1 << 18
@@ -115,19 +115,21 @@ class Transducer:
         self.byte = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(vocabulary) if k == "byte"}
         self.unknown = next((i for i, (_, _, k) in enumerate(vocabulary) if k == "unknown"), None)
         self.text = [p for p, _, _ in vocabulary]
-        self.children: list[dict[str, int]] = [{}]
-        self.final = [None]
-        for piece, (i, _) in normal.items():
-            node = 0
-            for c in piece:
-                if c not in self.children[node]:
-                    self.children[node][c] = len(self.final)
-                    self.children.append({})
-                    self.final.append(None)
-                node = self.children[node][c]
-            self.final[node] = i
+        #: A node maps characters to nodes and None to the (length, id) of the pieces that end on
+        #: the way to it, the longest last.
+        self.root: dict = {None: ()}
+        for piece in sorted(normal):
+            node = self.root
+            for k, c in enumerate(piece, 1):
+                if c not in node:
+                    end = normal.get(piece[:k])
+                    own = node[None] if k > 1 or end is not None else ((1, -2 - ord(c)),)
+                    node[c] = {None: own if end is None else (*own, (k, end[0]))}
+                node = node[c]
         falls_apart = all(SPACE not in p.lstrip(SPACE) for p in normal)
-        self.part = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if falls_apart else r"(?s).+")
+        # parts are kept with plain spaces, which takes less memory
+        self.part = re.compile(" *[^ ]+| +" if falls_apart else r"(?s).+")
+        self.number = "H" if len(vocabulary) <= 1 << 16 else "i"
         self.out = [self._bytes(*v) for v in vocabulary]
         self.blob = np.frombuffer(b"".join(self.out), np.uint8)
         self.lengths = np.array([len(b) for b in self.out], np.int64)
@@ -208,78 +210,74 @@ class Transducer:
                 right = b_steps[j][1]
                 j += 1
 
-    def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
-        """(end, id) of the lexicon's ways on from a place, the longest last."""
-        children, final, n = self.children, self.final, len(text)
-        out, node, to = [], 0, at
-        if text[at] not in self.normal:
-            out.append((at + 1, -2 - ord(text[at])))
-        while to < n:
-            node = children[node].get(text[to])
-            if node is None:
-                break
-            to += 1
-            if final[node] is not None:
-                out.append((to, final[node]))
-        return out
-
     def shortest_path(self, text: str) -> list[int]:
         """Lattice ids of the cheapest path for a normalised text.
 
         The constraint's weights are zero or infinite and only one path is finite, so the search
         goes depth first, longest pieces first, and never enters a state twice that led nowhere."""
-        n = len(text)
-        ways: list[list | None] = [None] * n
+        n, root, pairs = len(text), self.root, self.pairs
         dead: set[tuple[int, int]] = set()
-        path, before, at = [], START, 0
-        ways[0] = self.arcs(text, 0)
-        known, open_ = self.next_to(START), list(ways[0])
-        stack = []
+        path, stack, before, at = [], [], START, 0
         while True:
-            if not open_:
-                dead.add((at, before))
-                at, before, known, open_ = stack.pop()
-                path.pop()
-                continue
-            to, piece = open_.pop()
-            ok = known.get(piece)
-            if ok is None:
-                ok = known[piece] = self.apart(before, piece)
-                self.n_pairs += 1
-            if not ok or (dead and (to, piece) in dead):
-                continue
+            # the lexicon's ways on from here
+            node, to = root, at
+            while to < n:
+                way = node.get(text[to])
+                if way is None:
+                    break
+                node = way
+                to += 1
+            open_ = node[None] or ((1, -2 - ord(text[at])),)
+            left, known = len(open_), pairs.get(before)
+            if known is None:
+                known = self.next_to(before)
+            while True:
+                if not left:
+                    dead.add((at, before))
+                    at, before, known, open_, left = stack.pop()
+                    path.pop()
+                    continue
+                left -= 1
+                size, piece = open_[left]
+                ok = known.get(piece)
+                if ok is None:
+                    ok = known[piece] = self.apart(before, piece)
+                    self.n_pairs += 1
+                if ok and not (dead and (at + size, piece) in dead):
+                    break
             path.append(piece)
-            if to == n:
+            if at + size == n:
                 return path
-            stack.append((at, before, known, open_))
-            if ways[to] is None:
-                ways[to] = self.arcs(text, to)
-            at, before, known, open_ = to, piece, self.next_to(piece), list(ways[to])
+            stack.append((at, before, known, open_, left))
+            at, before = at + size, piece
 
     def solve(self, part: str) -> bytes:
-        """The part's ids as 32-bit numbers."""
+        """The part's ids as packed numbers."""
         if len(self.parts) >= PARTS:
             self.older, self.parts = self.parts, {}
         known = self.older.get(part)
         if known is not None:
             self.parts[part] = known
             return known
-        ids: list[int] = []
-        for i in self.shortest_path(part):
-            if i >= 0:
-                ids.append(i)
-            elif self.byte:
-                ids += [self.byte[b] for b in chr(-2 - i).encode()]
-            else:
-                ids.append(self.unknown)
-        out = self.parts[part] = array("i", ids).tobytes()
+        ids = self.shortest_path(part.replace(" ", SPACE))
+        if min(ids) < 0:
+            path, ids = ids, []
+            for i in path:
+                if i >= 0:
+                    ids.append(i)
+                elif self.byte:
+                    ids += [self.byte[b] for b in chr(-2 - i).encode()]
+                else:
+                    ids.append(self.unknown)
+        out = self.parts[part] = array(self.number, ids).tobytes()
         return out
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         solve = self.solve
-        return np.frombuffer(b"".join([self.parts.get(p) or solve(p) for p in self.part.findall(SPACE + text.replace(" ", SPACE))]), np.int32)
+        packed = b"".join([self.parts.get(p) or solve(p) for p in self.part.findall(" " + text.replace(SPACE, " "))])
+        return np.frombuffer(packed, self.number).astype(np.int32)
 
     def decode(self, ids) -> str:
         out = self.out

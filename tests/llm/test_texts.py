@@ -242,3 +242,15 @@ def test_solved_parts_are_kept_within_bounds_and_give_the_same_ids(prose, monkey
     small = wfst.Transducer(wfst.load())
     assert [small.encode(t).tolist() for t in texts] == want
     assert len(small.parts) <= 25 and 0 < len(small.older) <= 25
+
+
+def test_a_part_met_again_after_many_others_is_not_solved_again():
+    from casemill.llm import sentencepiece_wfst as wfst
+
+    machine, solved = wfst.Transducer(wfst.load()), []
+    search = machine.shortest_path
+    machine.shortest_path = lambda part: solved.append(part) or search(part)
+    words = [f"{chr(97 + k % 26)}{k}" for k in range(120_000)]
+    machine.encode(" ".join(words))
+    machine.encode(" ".join(words[:5_000]))
+    assert len(solved) == len(words)
