@@ -17,10 +17,13 @@ never results. Tokens that occur once match nothing and are no signatures.
 
 A signature's sets are a list of candidates, cut into blocks if it is long. Within a list, parity
 bitmaps give a lower bound of the symmetric difference that rules out nearly all pairs that aren't
-similar. Of the rest a spanning forest is proposed and its edges are verified on the true sets;
-lists with refuted edges, or with a member that had more to propose than it may at once, propose
-again without the answered ones, several for each member, until nothing new comes up. So not all pairs of a large group of copies are written out, and no link that holds two
-parts together is lost.
+similar. Of the rest a spanning forest is proposed and its edges are verified on the true sets.
+First every set asks in its longest list only. What that connects is one part in all lists; lists
+with several parts left propose pairs between them, each pair in one list alone, the one with the
+smallest of the signatures both sets have. Lists with refuted edges, or with a member that had
+more to propose than it may at once, propose again without the answered ones, several for each
+member, until nothing new comes up. So neither all pairs of a large group of copies nor one
+pair's many lists are written out, and no link that holds two parts together is lost.
 """
 
 from __future__ import annotations
@@ -216,14 +219,16 @@ def _described(words: int):
 
 # -- candidate lists -----------------------------------------------------------------------------
 
-def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> tuple[list[tuple[int, int]], bool]:
+def proposals(sids, sizes, bits, threshold, linked, refuted, width, parts=None, asking=None, mine=None) -> tuple[list[tuple[int, int]], bool]:
     """Pairs that may be similar and would connect what isn't connected by linked pairs, and whether
     pairs of that kind were held back.
 
     A ``width`` of 1 asks for a spanning forest, which holds nothing back if all its edges verify, a
-    larger one for so many pairs for each member."""
+    larger one for so many pairs for each member. ``parts``: a label for each member, equal for
+    those that are connected. ``asking``: members for which pairs are wanted, instead of all.
+    ``mine(i, j)``: whether a pair may be proposed here."""
     place = {s: i for i, s in enumerate(sids)}
-    label = np.arange(len(sids))
+    label = np.arange(len(sids)) if parts is None else np.unique(parts, return_inverse=True)[1]
     for a, b in linked:
         x, y = label[place[a]], label[place[b]]
         label[label == max(x, y)] = min(x, y)
@@ -234,8 +239,10 @@ def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> tuple[lis
     words = bits.view(U64)
     up, down = threshold.numerator, threshold.denominator
     out, more = [], False
-    for i in range(1, len(sids)):
+    for i in range(1, len(sids)) if asking is None else np.flatnonzero(asking).tolist():
         others = np.flatnonzero(label[:i] != label[i])
+        if asking is not None:
+            others = np.append(others, i + np.flatnonzero((label[i:] != label[i]) & ~asking[i:]))
         small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
         others = others[small * down >= large * up]
         if not len(others):
@@ -246,7 +253,7 @@ def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> tuple[lis
         others = others[(both - apart) * down >= (both + apart) * up]
         left = width
         for j in others.tolist():
-            if j in no.get(i, ()) or (width == 1 and label[i] == label[j]):
+            if j in no.get(i, ()) or (width == 1 and label[i] == label[j]) or (mine is not None and not mine(i, j)):
                 continue
             if not left:
                 more = True
@@ -260,19 +267,40 @@ def proposals(sids, sizes, bits, threshold, linked, refuted, width) -> tuple[lis
     return [(int(min(sids[a], sids[b])), int(max(sids[a], sids[b]))) for a, b in out], more
 
 
+def _members(table_: pa.Table):
+    """Order by name, names, sizes and bitmaps of a list's members."""
+    sids = np.asarray(table_["sid"])
+    order = np.argsort(sids)
+    bits = np.frombuffer(b"".join(table_["bits"].to_pylist()), np.uint8).reshape(len(sids), -1)[order]
+    return order, sids[order].tolist(), np.asarray(table_["n"])[order].astype(np.int64), np.ascontiguousarray(bits)
+
+
+def _first(threshold: Fraction):
+    def run(members: pa.Table) -> pa.Table:
+        order, sids, sizes, bits = _members(members)
+        found, _ = proposals(sids, sizes, bits, threshold, (), (), 1, asking=np.asarray(members["own"])[order])
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
 def _propose(threshold: Fraction, width: int):
     def run(key, members: pa.Table, known: pa.Table) -> pa.Table:
         none = pa.table({"list": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "more": pa.array([], pa.bool_())})
         if not len(members):
             return none
-        sids = np.asarray(members["sid"])
-        order = np.argsort(sids)
-        sids, sizes = sids[order], np.asarray(members["n"])[order].astype(np.int64)
-        bits = np.frombuffer(b"".join(members["bits"].to_pylist()), np.uint8).reshape(len(sids), -1)[order]
+        order, sids, sizes, bits = _members(members)
+        own = members["key"][0].as_py()
+        sides, names = np.asarray(members["side"])[order].tolist(), members["keys"].to_pylist()
+        smaller = [frozenset(k for k in names[i] if k < own) for i in order]
+
+        def mine(i: int, j: int) -> bool:
+            return (not sides[i] or sides[i] != sides[j]) and smaller[i].isdisjoint(smaller[j])
+
         ok = known["ok"].to_pylist()
         edges = list(zip(known["a"].to_pylist(), known["b"].to_pylist()))
         linked, refuted = ([e for e, k in zip(edges, ok) if k is want] for want in (True, False))
-        found, more = proposals(sids.tolist(), sizes, np.ascontiguousarray(bits), threshold, linked, refuted, width)
+        found, more = proposals(sids, sizes, bits, threshold, linked, refuted, width, np.asarray(members["label"])[order], mine=mine)
         if not found:
             return none
         return pa.table({"list": pa.array([key[0].as_py()] * len(found), pa.int64()), "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64()), "more": pa.array([more] * len(found), pa.bool_())})
@@ -297,18 +325,20 @@ def _verify(threshold: Fraction):
 
 
 def _lists(posted: DataFrame) -> DataFrame:
-    """(list, sid): the distinct candidate lists of two members and more, long ones in blocks of
-    which every two meet."""
+    """(list, key, sid, side): the distinct candidate lists of two members and more, key being the
+    smallest of their signatures. Long ones come in blocks of which every two meet; there, pairs of
+    one block belong to the block's list with itself (side 0), others to members of different sides."""
     counts = posted.groupBy("sig").agg(F.count("*").alias("k")).where("k > 1")
     posted = posted.join(counts, "sig")
     blocks = F.ceil(F.col("k") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     meets = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     spread = posted.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(meets))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
     spread = spread.groupBy("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    grouped = spread.agg(F.sort_array(F.collect_set("sid")).alias("sids")).where(F.size("sids") > 1)
-    distinct = grouped.select(F.xxhash64("sids").alias("list"), "sids").dropDuplicates(["list"])
-    return distinct.select("list", F.explode("sids").alias("sid"))
+    grouped = spread.agg(F.sort_array(F.collect_set(F.struct("sid", side))).alias("sids")).where(F.size("sids") > 1)
+    distinct = grouped.groupBy(F.xxhash64("sids").alias("list")).agg(F.min("sig").alias("key"), F.first("sids").alias("sids"))
+    return distinct.select("list", "key", F.explode("sids").alias("member")).select("list", "key", "member.sid", "member.side")
 
 
 def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
@@ -324,36 +354,49 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
     bits, lowest = frequencies(docs, words)
     shared = spark.sparkContext.broadcast(bits)
     posted = docs.select("text").mapInArrow(_signed(words, threshold, lowest, shared), "sig long, sid long").distinct()
-    lists = cut(_lists(posted))
+    lists = _lists(posted)
+    if "key" not in lists.columns:  # no signatures given: a list stands for itself
+        lists = lists.withColumns({"key": F.col("list"), "side": F.lit(0)})
+    lists = cut(lists)
     # one text for each candidate set
     chosen = facts.join(lists.select("sid").distinct(), "sid").groupBy("sid").agg(F.min_by(F.struct("id"), F.col("id")).alias("row"))
     chosen = chosen.select("sid", "row.id")
     described = docs.join(chosen, docs["id"].eqNullSafe(chosen["id"])).select("sid", "text").mapInArrow(_own_set(words), "sid long, n int, bits binary, tokens array<long>")
     described = cut(described.dropDuplicates(["sid"]))
-    members = cut(lists.join(described.select("sid", "n", "bits"), "sid"))
-    empty = spark.createDataFrame([], "list long, a long, b long, ok boolean")
-    known, todo = empty, members
-    verified, width = None, 1
+    lengths = lists.groupBy("list").agg(F.count("*").alias("k"))
+    longest = lists.join(lengths, "list").groupBy("sid").agg(F.max(F.struct("k", "list"))["list"].alias("longest"))
+    members = lists.join(described.select("sid", "n", "bits"), "sid").join(longest, "sid")
+    members = cut(members.withColumn("own", F.col("list") == F.col("longest")).drop("longest"))
+    asked = members.join(members.where("own").select("list").distinct(), "list", "left_semi").select("list", "sid", "n", "bits", "own")
+    tokens = described.select("sid", "tokens")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
+        return both.mapInArrow(_verify(threshold), "a long, b long, ok boolean")
+
+    verified = cut(checked(asked.groupBy("list").applyInArrow(_first(threshold), "a long, b long").distinct()))
+    # what is connected by now is one part in all lists
+    parts = components(verified.where("ok").select("a", "b")).select(F.col("node").alias("sid"), F.col("root").alias("label"))
+    labelled = members.drop("own").join(parts, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    several = labelled.groupBy("list").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("list")
+    keys = lists.groupBy("sid").agg(F.collect_set("key").alias("keys"))
+    members = cut(labelled.join(several, "list", "left_semi").join(keys, "sid"))
+    known = spark.createDataFrame([], "list long, a long, b long, ok boolean")
+    todo, width = members, 1
     while True:
         proposed = todo.groupBy("list").cogroup(known.groupBy("list")).applyInArrow(_propose(threshold, width), "list long, a long, b long, more boolean")
         proposed = cut(proposed)
         if proposed.isEmpty():
             break
-        fresh = proposed.select("a", "b").distinct()
-        if verified is not None:
-            fresh = fresh.join(verified, ["a", "b"], "left_anti")
-        tokens = described.select("sid", "tokens")
-        both = fresh.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-        checked = both.mapInArrow(_verify(threshold), "a long, b long, ok boolean")
-        verified = cut(checked if verified is None else checked.unionByName(verified))
+        fresh = proposed.select("a", "b").distinct().join(verified, ["a", "b"], "left_anti")
+        verified = cut(checked(fresh).unionByName(verified))
         answered = proposed.join(verified, ["a", "b"]).select("list", "a", "b", "ok", "more")
         known = cut(known.unionByName(answered.drop("more")))
         again = answered.where("more OR NOT ok").select("list").distinct()  # only these may have more to say
         todo = cut(members.join(again, "list", "left_semi"))
         known = cut(known.join(again, "list", "left_semi"))
         width *= 8
-    links = verified.where("ok").select("a", "b") if verified is not None else empty.select("a", "b")
-    return facts, links
+    return facts, verified.where("ok").select("a", "b")
 
 
 def _own_set(words: int):

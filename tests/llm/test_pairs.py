@@ -83,6 +83,23 @@ def test_no_partner_is_held_back_for_good(docs, monkeypatch):
     assert got == brute_components(rows, 1, Fraction(9, 10)) and {c for _, c in got.values()} == {0}
 
 
+def test_a_pair_is_proposed_in_one_of_its_lists(docs, monkeypatch):
+    written, cut = [], jaccard_join.cut
+
+    def counted(df):
+        out = cut(df)
+        if {"a", "b"} <= set(out.columns):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "cut", counted)
+    texts = near_copies(4, 80, 150, 12) + near_copies(5, 80, 150, 30)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join(docs(*rows), words=5, threshold=Fraction(8, 10)).collect()}
+    assert got == brute_components(rows, 5, Fraction(8, 10))
+    assert max(written) <= 2 * len(texts)  # not once for each signature that both sets have
+
+
 def test_join_handles_odd_rows(docs):
     odd = docs((7, "same text here"), (7, "same text here"), (None, "same text here"), (None, "alone"), (3, None))
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard_join.join(odd).collect())
