@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 19
 U64 = np.uint64
-_BASE = U64(0x9E3779B97F4A7C15 | 1)
+BASE = U64(0x9E3779B97F4A7C15 | 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U64) * _BASE)
+_BYTE = mix(np.arange(1, 257, dtype=U64) * BASE)
 _powers = np.ones(1, U64)
 _inverses = np.ones(1, U64)
 
@@ -44,10 +44,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
         size = max(n, CHUNK_BYTES + 4096)
-        ones = np.full(size, _BASE, U64)
+        ones = np.full(size, BASE, U64)
         ones[0] = 1
         _powers = np.cumprod(ones)
-        ones[1:] = U64(pow(int(_BASE), -1, 1 << 64))
+        ones[1:] = U64(pow(int(BASE), -1, 1 << 64))
         _inverses = np.cumprod(ones)
     return _powers[:n], _inverses[:n]
 
@@ -62,7 +62,7 @@ def rolling(data: np.ndarray) -> np.ndarray:
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of the bytes [start, end) that doesn't depend on where they stand."""
     inverse = powers(len(prefix))[1]
-    return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(U64) * _BASE)
+    return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(U64) * BASE)
 
 
 def lower(data: np.ndarray) -> np.ndarray:
@@ -137,7 +137,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     width = min(n, len(words))
     total = np.zeros(len(words) - width + 1, U64)
     for k in range(width):
-        total = (total + words[k : len(words) - width + 1 + k]) * _BASE
+        total = (total + words[k : len(words) - width + 1 + k]) * BASE
         total ^= total >> U64(29)
     return np.unique(mix(total + U64(width)))
 

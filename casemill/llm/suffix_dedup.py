@@ -74,23 +74,25 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     if len(data) < length:
         return none, none, none, none.astype(U64), none.astype(U64)
     prefix = kernel.rolling(data)
-    start = np.arange(len(data) - gram + 1)
-    hashes = kernel.span_hash(prefix, start, start + gram)
+    n = len(data) - gram + 1
+    # kernel.span_hash of every gram
+    hashes = kernel.mix((prefix[gram:] - prefix[:n]) * kernel.powers(n)[1] + np.full(1, gram, U64) * kernel.BASE)
     bits = U64(max(1, int(len(data)).bit_length()))
     # the smallest hash wins and the leftmost of equals
-    least = sliding_min((hashes >> bits << bits) | start.astype(U64), length - gram + 1)
-    rows = np.flatnonzero(np.diff(offsets) >= length)
-    counts = offsets[rows + 1] - offsets[rows] - length + 1
-    row = np.repeat(rows, counts)
-    window = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + offsets[row]
-    place = (least[window] & ((U64(1) << bits) - U64(1))).astype(np.int64)
-    fresh = np.ones(len(window), bool)
-    fresh[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(fresh)
-    last = np.append(first[1:], len(window)) - 1
-    lo, hi, at = window[first], window[last], place[first]
+    least = sliding_min((hashes >> bits << bits) | np.arange(n, dtype=U64), length - gram + 1)
+    place = (least & ((U64(1) << bits) - U64(1))).astype(np.int64)
+    fresh = np.ones(len(place), bool)
+    fresh[1:] = place[1:] != place[:-1]
+    fresh[offsets[:-1][np.diff(offsets) >= length]] = True
+    lo = np.flatnonzero(fresh)
+    row = np.searchsorted(offsets, lo, "right") - 1
+    last = offsets[row + 1] - length  # the row's last window
+    hi = np.minimum(np.append(lo[1:], len(place)) - 1, last)
+    whole = lo <= last
+    row, lo, hi = row[whole], lo[whole], hi[whole]
+    at = place[lo]
     context = kernel.span_hash(prefix, lo, hi + length) + (at - lo).astype(U64)
-    return row[first], lo, hi, hashes[at], kernel.mix(context)
+    return row, lo, hi, hashes[at], kernel.mix(context)
 
 
 def place_key(gram: np.ndarray, rid: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -296,6 +298,62 @@ def _sorted(length):
     return run
 
 
+# -- repeated contexts ---------------------------------------------------------------------------
+
+
+def context_key(gram: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return kernel.mix(gram.view(U64) ^ kernel.mix(context.view(U64)))
+
+
+def _context_keys(batches):
+    for batch in batches:
+        gram, context = (np.asarray(batch.column(c)) for c in ("gram", "context"))
+        yield kernel.rows(key=kernel.signed(context_key(gram, context)))
+
+
+def _passing(shared, batch) -> np.ndarray:
+    filter_ = np.frombuffer(shared.value, np.uint8)
+    gram, context = (np.asarray(batch.column(c)) for c in ("gram", "context"))
+    return np.flatnonzero(bitfilter.contains(filter_, context_key(gram, context), FILTER_BITS, PROBES))
+
+
+def _by_text(shared, length):
+    """The places whose context passes the filter as ``rid``, ``los`` and ``ends``, a text's places that
+    follow one another in one row."""
+
+    def run(batches):
+        for batch in batches:
+            ok = _passing(shared, batch)
+            rid, lo, hi = (np.asarray(batch.column(c))[ok] for c in ("rid", "lo", "hi"))
+            first = np.flatnonzero(np.append(True, rid[1:] != rid[:-1])) if len(rid) else np.zeros(0, np.int64)
+            offsets = np.append(first, len(rid))
+            yield kernel.rows(rid=rid[first], los=kernel.lists(lo, offsets, pa.int64()), ends=kernel.lists(hi + length, offsets, pa.int64()))
+
+    return run
+
+
+def _passed_by_chance(shared):
+    """Of contexts that occur once, the places of those that pass the filter."""
+
+    def run(batches):
+        for batch in batches:
+            ok = pa.array(_passing(shared, batch))
+            yield kernel.rows(rid=batch.column("rid").take(ok), lo=batch.column("lo").take(ok))
+
+    return run
+
+
+def _without(batches):
+    """Spans of the places that aren't among ``wrong``, those that overlap or touch made one."""
+    for batch in batches:
+        rids, los, ends, wrongs = (batch.column(c).to_pylist() for c in ("rid", "los", "ends", "wrong"))
+        out = []
+        for rid, lo, end, wrong in zip(rids, los, ends, wrongs):
+            gone = set(wrong or ())
+            out += [(rid, a, b) for a, b in merged([(a, b) for a, b in zip(lo, end) if a not in gone])]
+        yield kernel.rows(**{c: pa.array([r[k] for r in out], pa.int64()) for k, c in enumerate(("rid", "lo", "end"))})
+
+
 # -- the operator --------------------------------------------------------------------------------
 
 SPANS = "rid long, lo long, end long"
@@ -303,13 +361,22 @@ SPANS = "rid long, lo long, end long"
 
 def _classified(found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Spans of the contexts that occur twice; and (gram, rid, lo, crowd) of those to be sorted,
-    crowd being the gram's number of contexts."""
+    crowd being the gram's number of contexts.
+
+    The places of a repeated context aren't gathered: the contexts go into a Bloom filter, a text's
+    places that pass it are one row, and those that pass by chance, which occur once and are
+    known by place, are taken out again."""
+    spark = found.sparkSession
     places = F.struct("rid", "lo", "hi")
     by_context = found.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(places).alias("place"))
     by_context = cut(by_context)
     by_gram = by_context.groupBy("gram").agg(F.count("*").alias("crowd"), F.count_if(F.col("n") == 1).alias("single"))
-    again = found.join(by_context.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
-    spans = again.select("rid", "lo", (F.col("hi") + length).alias("end"))
+    keys = by_context.where("n > 1").select("gram", "context").mapInArrow(_context_keys, "key long")
+    shared = spark.sparkContext.broadcast(bitfilter.build(keys, FILTER_BITS, PROBES).tobytes())
+    once = by_context.where("n = 1").select("gram", "context", "place.rid", "place.lo")
+    wrong = once.mapInArrow(_passed_by_chance(shared), "rid long, lo long").groupBy("rid").agg(F.collect_set("lo").alias("wrong"))
+    passing = found.select("gram", "context", "rid", "lo", "hi").mapInArrow(_by_text(shared, length), "rid long, los array<long>, ends array<long>")
+    spans = passing.join(wrong, "rid", "left").mapInArrow(_without, SPANS)
     open_ = by_context.join(by_gram.where("crowd > 1 AND single > 0"), "gram")
     return spans, open_.select("gram", "place.rid", "place.lo", "crowd")
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def test_removal_of_odd_rows(docs):
     assert suffix_dedup.remove(docs().limit(0), {"doc_id": F.col("doc_id")}).count() == 0
 
 
+def test_a_repeated_passage_is_one_span_of_each_text(docs, prose):
+    page = prose(6, 100)
+    texts = docs(*[prose(300 + k, 10) + page + prose(400 + k, 10) for k in range(12)])
+    found = suffix_dedup.spans(texts.select(F.xxhash64("doc_id", "text").alias("rid"), "text"), 60).collect()
+    assert len({r.rid for r in found}) == 12 and len(found) <= 4 * 12  # not one for each of its contexts
+
+
+def test_short_texts_have_no_windows_even_if_many_stand_together():
+    data = np.frombuffer(b"a" * 300, np.uint8)
+    assert not any(len(x) for x in suffix_dedup.anchors(data, np.array([0, 150, 150, 300]), 200, 64))
+
+
 def test_kept_text_has_whole_characters(docs, prose):
     page = prose(5, 60)
     kept = suffix_dedup.stage(None, docs("é" + page + "ü rest", "à" + page + "ö other", None), "")
