@@ -188,22 +188,26 @@ def _word_at(words: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def sort_directly(words: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` bytes (rounded up to whole words)."""
-    order = suffixes[np.argsort(words[suffixes], kind="stable")]
-    key = words[order]
+    known, rank = np.unique(words, return_inverse=True)
+    rank += known[0] != 0  # 0 is what follows the end
+    order = suffixes[np.argsort(rank[suffixes])]
+    key = rank[order]
     group = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])]) if len(order) else np.zeros(0, np.int64)
     for at in range(8, depth, 8):
         sizes = np.bincount(group)
         tied = np.flatnonzero(sizes[group] > 1)
         if not len(tied):
             break
-        word = _word_at(words, order[tied] + at)
-        by = np.lexsort((word, group[tied]))
-        order[tied], word = order[tied][by], word[by]
-        old = group[tied]
+        # one number of the group so far and the next word's rank
+        place = order[tied] + at
+        inside = place < len(rank)
+        key = group[tied] << 32
+        key[inside] |= rank[place[inside]]
+        by = np.argsort(key)
+        order[tied], key = order[tied][by], key[by]
         step = np.zeros(len(group), np.int64)
         step[1:] = group[1:] != group[:-1]
-        inner = np.flatnonzero((old[1:] == old[:-1]) & (word[1:] != word[:-1])) + 1
-        step[tied[inner]] = 1
+        step[tied[1:][(key[1:] != key[:-1]) & (key[1:] >> 32 == key[:-1] >> 32)]] = 1
         group = np.cumsum(step)
     return order
 
