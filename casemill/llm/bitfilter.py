@@ -82,7 +82,9 @@ def _build(bits: int, probes: int):
 
 def build(keys: DataFrame, bits: int, probes: int) -> np.ndarray:
     """The filter over the long column ``key`` as bytes on the driver. With int columns low and
-    high, the key is added with each level from low to high, without them with level 0."""
+    high, the key is added with each level from low to high, without them with level 0.
+
+    All blocks are built in one job: taken one partition at a time, they would be as many jobs."""
     ship(keys.sparkSession)
     level = (lambda c: F.col(c) if c in keys.columns else F.lit(0).alias(c))
     blocks = (
@@ -92,6 +94,6 @@ def build(keys: DataFrame, bits: int, probes: int) -> np.ndarray:
     )
     out = np.zeros((1 << bits) // 8, np.uint8)
     size = len(out) // BLOCKS
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():
         out[row.block * size : (row.block + 1) * size] |= np.frombuffer(row.bits, np.uint8)
     return out

@@ -50,3 +50,21 @@ def test_filter_has_no_false_negatives(spark):
         has = bitfilter.contains(found, values, 22, 4, level)
         assert has[rows["high"] >= level].all()
         assert has[rows["high"] < level].mean() < 0.02 if (rows["high"] < level).any() else True
+
+
+def test_a_filter_is_built_in_one_go_however_many_partitions(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    context = spark.sparkContext
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else each shuffle is a job of its own
+    context.setJobGroup("one filter", "one filter")
+    try:
+        filter_ = bitfilter.build(spark.range(500).selectExpr("id * 7 AS key"), 16, 4)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(context.statusTracker().getJobIdsForGroup("one filter")) == 1
+    assert bitfilter.contains(filter_, np.arange(500, dtype=np.int64).view(np.uint64) * np.uint64(7), 16, 4).all()
