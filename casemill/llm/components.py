@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import cut
+from .tables import cut, forget
 
 
 def _state(edges: DataFrame):
@@ -38,8 +38,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(edges)
     while True:
-        edges = cut(_small_star(_large_star(edges)))
-        before, state = state, _state(edges)
+        tied = cut(_small_star(_large_star(edges)))
+        forget(edges)
+        edges, before, state = tied, state, _state(tied)
         if before == state:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

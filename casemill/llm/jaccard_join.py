@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import bitfilter, counting, kernel
 from .components import components
-from .tables import cut, ship, table
+from .tables import cut, forget, ship, table, temporary_cuts
 
 FILTER_BITS, PROBES = 28, 4
 CAPACITY = (1 << FILTER_BITS) // 10
@@ -95,7 +95,9 @@ def frequencies(docs: DataFrame, words: int) -> tuple[bytes, int]:
     while counting.load(kinds, low) > CAPACITY:
         low += 1
     stored = counts.where(F.col("high") >= low).select("key", F.lit(low).alias("low"), "high")
-    return bitfilter.build(stored, FILTER_BITS, PROBES).tobytes(), low
+    bits = bitfilter.build(stored, FILTER_BITS, PROBES).tobytes()
+    forget(counts)
+    return bits, low
 
 
 # -- signatures ----------------------------------------------------------------------------------
@@ -366,8 +368,8 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
     lengths = lists.groupBy("list").agg(F.count("*").alias("k"))
     longest = lists.join(lengths, "list").groupBy("sid").agg(F.max(F.struct("k", "list"))["list"].alias("longest"))
     members = lists.join(described.select("sid", "n", "bits"), "sid").join(longest, "sid")
-    members = cut(members.withColumn("own", F.col("list") == F.col("longest")).drop("longest"))
-    asked = members.join(members.where("own").select("list").distinct(), "list", "left_semi").select("list", "sid", "n", "bits", "own")
+    owned = cut(members.withColumn("own", F.col("list") == F.col("longest")).drop("longest"))
+    asked = owned.join(owned.where("own").select("list").distinct(), "list", "left_semi").select("list", "sid", "n", "bits", "own")
     tokens = described.select("sid", "tokens")
 
     def checked(pairs: DataFrame) -> DataFrame:
@@ -377,10 +379,11 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
     verified = cut(checked(asked.groupBy("list").applyInArrow(_first(threshold), "a long, b long").distinct()))
     # what is connected by now is one part in all lists
     parts = components(verified.where("ok").select("a", "b")).select(F.col("node").alias("sid"), F.col("root").alias("label"))
-    labelled = members.drop("own").join(parts, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    labelled = owned.drop("own").join(parts, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     several = labelled.groupBy("list").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("list")
     keys = lists.groupBy("sid").agg(F.collect_set("key").alias("keys"))
     members = cut(labelled.join(several, "list", "left_semi").join(keys, "sid"))
+    forget(lists, owned)
     known = spark.createDataFrame([], "list long, a long, b long, ok boolean")
     todo, width = members, 1
     while True:
@@ -389,13 +392,15 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
         if proposed.isEmpty():
             break
         fresh = proposed.select("a", "b").distinct().join(verified, ["a", "b"], "left_anti")
-        verified = cut(checked(fresh).unionByName(verified))
+        before, verified = verified, cut(checked(fresh).unionByName(verified))
         answered = proposed.join(verified, ["a", "b"]).select("list", "a", "b", "ok", "more")
-        known = cut(known.unionByName(answered.drop("more")))
+        all_known = cut(known.unionByName(answered.drop("more")))
         again = answered.where("more OR NOT ok").select("list").distinct()  # only these may have more to say
-        todo = cut(members.join(again, "list", "left_semi"))
-        known = cut(known.join(again, "list", "left_semi"))
+        open_ = cut(members.join(again, "list", "left_semi")), cut(all_known.join(again, "list", "left_semi"))
+        forget(proposed, before, all_known, *([todo, known] if width > 1 else []))
+        todo, known = open_
         width *= 8
+    forget(members, proposed, described, *([todo, known] if width > 1 else []))
     return facts, verified.where("ok").select("a", "b")
 
 
@@ -440,7 +445,8 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     Rows without words all stay. Of rows alike in id and text one stays; rows that share the
     smallest id but not the text stay, and so do different texts in a component without any id."""
     rid = F.xxhash64(F.col(id_column), F.col(text))
-    classed = cut(_classed(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), rid.alias("rid")), words, threshold))
+    with temporary_cuts(docs.sparkSession) as keep:
+        classed = keep(cut(_classed(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), rid.alias("rid")), words, threshold)))
     grouped = classed.where("sid IS NOT NULL")
     gone = grouped.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("rid").distinct()
     kept = docs.withColumn("_rid", rid).join(gone.withColumnRenamed("rid", "_rid"), "_rid", "left_anti")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bitfilter, kernel
-from .tables import cut, ship, table
+from .tables import cut, forget, ship, table
 
 LENGTH = 200
 #: Gram sizes as shares of the window: the first for all texts, longer ones for crowded grams.
@@ -402,6 +402,7 @@ def spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = spark.sparkContext.broadcast(bitfilter.build(keys, FILTER_BITS, PROBES).tobytes())
     contexts = rows.mapInArrow(_contexts(length, gram, wanted), "gram long, rid long, lo long, hi long, data binary")
     todo = cut(contexts.join(open_, ["gram", "rid", "lo"]))
+    forget(open_)
     while True:
         small = todo.where(F.col("crowd") <= GROUP)
         volume = todo.agg(F.sum(F.when(F.col("crowd") <= GROUP, F.octet_length("data"))).alias("small"), F.count_if(F.col("crowd") > GROUP).alias("large")).first()

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, prepare, scratch_path  # noqa: F401
+from ..session import cut, forget, prepare, scratch_path, temporary_cuts  # noqa: F401
 
 # Batches handed to Python are kept small, as documents may be long and workers hold several copies.
 ARROW = {

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,7 @@ SQL_SETTINGS = {
 FALLBACK = "spark.casemill.scratchDir"
 
 _open_scopes: list[list[str]] = []
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -75,22 +77,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{path}/{name}"
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    configuration = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(configuration).delete(where, True)
+
+
 @contextmanager
-def temporary_cuts(spark: SparkSession) -> Iterator[None]:
+def temporary_cuts(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Delete the cuts made inside when the work that reads them is over, also after an error.
 
-    Only for work that hands on nothing lazy: a result must be written elsewhere by then.
+    Only for work that hands on nothing lazy: a result must be written elsewhere by then, or be a cut
+    itself and go through the function this gives, which leaves that cut to the scope around.
     """
     made: list[str] = []
     _open_scopes.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        made.remove(_folders[df])
+        return df
+
     try:
-        yield
+        yield keep
     finally:
-        _open_scopes.remove(made)
-        configuration = spark._jsc.hadoopConfiguration()
-        for path in made:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(configuration).delete(where, True)
+        _open_scopes[:] = [scope for scope in _open_scopes if scope is not made]
+        _delete(spark, made)
+
+
+def forget(*cuts: DataFrame) -> None:
+    """Delete cuts that nothing reads any more."""
+    for df in cuts:
+        path = _folders.pop(df)
+        for scope in _open_scopes:
+            if path in scope:
+                scope.remove(path)
+        _delete(df.sparkSession, [path])
 
 
 def cut(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -102,4 +124,6 @@ def cut(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     path = scratch_path(df.sparkSession, "cut.parquet")
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[out] = path.rpartition("/")[0]
+    return out

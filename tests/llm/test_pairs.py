@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from casemill import session
 from casemill.llm import jaccard_join, segment_search
 from casemill.llm.components import components
 
@@ -175,3 +176,19 @@ def test_top_k_keeps_large_components(spark):
     far = spark.createDataFrame([(1, [1e300, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="too long"):
         segment_search.top_k(far, "vec_id", "embedding", F.col("vec_id") % 20 == 0).collect()
+
+
+def test_one_of_each_leaves_a_single_cut_behind(spark, docs, prose, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    texts = [t for t in near_copies(5, 6, 60, 1)]
+    kept = jaccard_join.one_of_each(docs(*texts, prose(1, 40), None, ""))
+    left = [p for p in tmp_path.iterdir() if any(p.rglob("*.parquet"))]
+    assert len(left) == 1, left  # the classes, which the result reads
+    assert kept.count() >= 4
+
+
+def test_components_leave_a_single_cut_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    found = components(spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long"))
+    assert len([p for p in tmp_path.iterdir() if any(p.rglob("*.parquet"))]) == 1
+    assert {r.root for r in found.collect()} == {0}
