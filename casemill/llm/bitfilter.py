@@ -7,9 +7,13 @@ whose number is a parameter, and never the keys.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel
@@ -97,3 +101,14 @@ def build(keys: DataFrame, bits: int, probes: int) -> np.ndarray:
     for row in blocks.collect():
         out[row.block * size : (row.block + 1) * size] |= np.frombuffer(row.bits, np.uint8)
     return out
+
+
+@contextmanager
+def shared(spark: SparkSession, bits: bytes) -> Iterator[Broadcast]:
+    """A finished filter on all executors. Every one keeps a copy on its disk and the driver another;
+    they go when the block ends, so what asks the filter must be written inside."""
+    handle = spark.sparkContext.broadcast(bits)
+    try:
+        yield handle
+    finally:
+        handle.destroy()

@@ -354,12 +354,12 @@ def similar_classes(docs: DataFrame, words: int, threshold: Fraction) -> tuple[D
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     facts = cut(docs.mapInArrow(_facts(words), f"{kinds}, n long, sid long"))
     bits, lowest = frequencies(docs, words)
-    shared = spark.sparkContext.broadcast(bits)
-    posted = docs.select("text").mapInArrow(_signed(words, threshold, lowest, shared), "sig long, sid long").distinct()
-    lists = _lists(posted)
-    if "key" not in lists.columns:  # no signatures given: a list stands for itself
-        lists = lists.withColumns({"key": F.col("list"), "side": F.lit(0)})
-    lists = cut(lists)
+    with bitfilter.shared(spark, bits) as shared:
+        posted = docs.select("text").mapInArrow(_signed(words, threshold, lowest, shared), "sig long, sid long").distinct()
+        lists = _lists(posted)
+        if "key" not in lists.columns:  # no signatures given: a list stands for itself
+            lists = lists.withColumns({"key": F.col("list"), "side": F.lit(0)})
+        lists = cut(lists)
     # one text for each candidate set
     chosen = facts.join(lists.select("sid").distinct(), "sid").groupBy("sid").agg(F.min_by(F.struct("id"), F.col("id")).alias("row"))
     chosen = chosen.select("sid", "row.id")

@@ -365,7 +365,7 @@ SPANS = "rid long, lo long, end long"
 
 def _classified(found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Spans of the contexts that occur twice; and (gram, rid, lo, crowd) of those to be sorted,
-    crowd being the gram's number of contexts.
+    crowd being the gram's number of contexts. Both are written, so that the filter can go.
 
     The places of a repeated context aren't gathered: the contexts go into a Bloom filter, a text's
     places that pass it are one row, and those that pass by chance, which occur once and are
@@ -376,13 +376,15 @@ def _classified(found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     by_context = cut(by_context)
     by_gram = by_context.groupBy("gram").agg(F.count("*").alias("crowd"), F.count_if(F.col("n") == 1).alias("single"))
     keys = by_context.where("n > 1").select("gram", "context").mapInArrow(_context_keys, "key long")
-    shared = spark.sparkContext.broadcast(bitfilter.build(keys, FILTER_BITS, PROBES).tobytes())
-    once = by_context.where("n = 1").select("gram", "context", "place.rid", "place.lo")
-    wrong = once.mapInArrow(_passed_by_chance(shared), "rid long, lo long").groupBy("rid").agg(F.collect_set("lo").alias("wrong"))
-    passing = found.select("gram", "context", "rid", "lo", "hi").mapInArrow(_by_text(shared, length), "rid long, los array<long>, ends array<long>")
-    spans = passing.join(wrong, "rid", "left").mapInArrow(_without, SPANS)
+    with bitfilter.shared(spark, bitfilter.build(keys, FILTER_BITS, PROBES).tobytes()) as shared:
+        once = by_context.where("n = 1").select("gram", "context", "place.rid", "place.lo")
+        wrong = once.mapInArrow(_passed_by_chance(shared), "rid long, lo long").groupBy("rid").agg(F.collect_set("lo").alias("wrong"))
+        passing = found.select("gram", "context", "rid", "lo", "hi").mapInArrow(_by_text(shared, length), "rid long, los array<long>, ends array<long>")
+        spans = cut(passing.join(wrong, "rid", "left").mapInArrow(_without, SPANS))
     open_ = by_context.join(by_gram.where("crowd > 1 AND single > 0"), "gram")
-    return spans, open_.select("gram", "place.rid", "place.lo", "crowd")
+    open_ = cut(open_.select("gram", "place.rid", "place.lo", "crowd"))
+    forget(by_context)
+    return spans, open_
 
 
 def spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -393,15 +395,15 @@ def spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     grams = [max(8, min(length, round(g * length))) for g in GRAMS]
     gram, deeper = grams[0], sorted({g for g in grams if g > grams[0]})
     counted = rows.select("text").mapInArrow(_grams(length, gram), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    filter_ = spark.sparkContext.broadcast(bitfilter.build(counted.where("n > 1"), FILTER_BITS, PROBES).tobytes())
-    found = cut(rows.mapInArrow(_anchored(length, gram, filter_), "gram long, context long, rid long, lo long, hi long"))
+    with bitfilter.shared(spark, bitfilter.build(counted.where("n > 1"), FILTER_BITS, PROBES).tobytes()) as filter_:
+        found = cut(rows.mapInArrow(_anchored(length, gram, filter_), "gram long, context long, rid long, lo long, hi long"))
     whole, open_ = _classified(found, length)
-    open_ = cut(open_)
+    forget(found)
     parts = [whole]
     keys = open_.mapInArrow(_place_keys, "key long")
-    wanted = spark.sparkContext.broadcast(bitfilter.build(keys, FILTER_BITS, PROBES).tobytes())
-    contexts = rows.mapInArrow(_contexts(length, gram, wanted), "gram long, rid long, lo long, hi long, data binary")
-    todo = cut(contexts.join(open_, ["gram", "rid", "lo"]))
+    with bitfilter.shared(spark, bitfilter.build(keys, FILTER_BITS, PROBES).tobytes()) as wanted:
+        contexts = rows.mapInArrow(_contexts(length, gram, wanted), "gram long, rid long, lo long, hi long, data binary")
+        todo = cut(contexts.join(open_, ["gram", "rid", "lo"]))
     forget(open_)
     while True:
         small = todo.where(F.col("crowd") <= GROUP)
@@ -409,14 +411,16 @@ def spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         if volume.small:
             deals = max(1, -(-volume.small // DEAL_BYTES))
             dealt = small.select(F.pmod(F.xxhash64("gram"), F.lit(deals)).alias("deal"), "rid", "lo", "data")
-            parts.append(dealt.groupBy("deal").applyInArrow(_sorted(length), SPANS))
+            parts.append(cut(dealt.groupBy("deal").applyInArrow(_sorted(length), SPANS)))
         if not volume.large or not deeper:
             break
         crowded = todo.where(F.col("crowd") > GROUP).dropDuplicates(["gram", "rid", "lo"])
         found = cut(crowded.mapInArrow(_sub_contexts(length, deeper.pop(0)), "gram long, context long, rid long, lo long, hi long, data binary"))
         whole, open_ = _classified(found, length)
         parts.append(whole)
-        todo = cut(found.drop("context").join(open_, ["gram", "rid", "lo"]))
+        before, todo = todo, cut(found.drop("context").join(open_, ["gram", "rid", "lo"]))
+        forget(before, found, open_)
+    forget(todo)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

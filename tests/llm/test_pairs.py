@@ -8,10 +8,11 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from casemill import session
-from casemill.llm import jaccard_join, segment_search
+from casemill.llm import jaccard_join, segment_search, suffix_dedup
 from casemill.llm.components import components
 
 
@@ -192,3 +193,24 @@ def test_components_leave_a_single_cut_behind(spark, tmp_path, monkeypatch):
     found = components(spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long"))
     assert len([p for p in tmp_path.iterdir() if any(p.rglob("*.parquet"))]) == 1
     assert {r.root for r in found.collect()} == {0}
+
+
+def test_filters_and_tables_go_when_nothing_asks_them(spark, docs, prose, tmp_path, monkeypatch):
+    """A filter lies on the disks of the driver and of every executor, and not until the application ends."""
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    made, gone, context = [], [], spark.sparkContext
+    broadcast, destroy = context.broadcast, Broadcast.destroy
+    monkeypatch.setattr(context, "broadcast", lambda value: made.append(broadcast(value)) or made[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a, **b: gone.append(self) or destroy(self, *a, **b))
+    passage = prose(1, 80)
+    texts = docs(passage + prose(2, 60), prose(3, 60) + passage, "short", "", passage, passage)
+    spans = suffix_dedup.spans(texts.select(F.xxhash64("doc_id", "text").alias("rid"), "text"))
+    assert len(made) >= 3 and gone == made
+    left = {f.as_uri().rpartition("/cut.parquet")[0] for f in tmp_path.rglob("*.parquet") if f.is_file()}
+    read = {f.replace("file:///", "/").rpartition("/cut.parquet")[0] for f in spans.inputFiles()}
+    assert {p.removeprefix("file://") for p in left} == read  # the spans alone
+    assert spans.select("rid").distinct().count() == 4
+    made.clear(), gone.clear()
+    _, links = jaccard_join.similar_classes(texts.select(F.col("doc_id").alias("id"), "text"), 3, Fraction(9, 10))
+    assert len(made) == 1 and gone == made
+    assert links.count() == 0  # copies are one set, the others share too little
