@@ -54,9 +54,11 @@ def tables_in(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 
 
-def stand_in(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Rows derived from the given tables by SQL both engines read the same way."""
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in tables_in(text)})
+def stand_in(spark: SparkSession, sf_dir: str, text: str, parts: int | None = None) -> DataFrame:
+    """Rows derived from the given tables by SQL both engines read the same way; with ``parts`` the
+    tables' own rows are dealt out to as many tasks, before they are made longer."""
+    read = {t: table(spark, sf_dir, t) for t in tables_in(text)}
+    return spark.sql(text, **(read if parts is None else {t: df.repartition(parts) for t, df in read.items()}))
 
 
 def plain_sql(text: str) -> str:

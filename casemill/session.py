@@ -23,6 +23,8 @@ SQL_SETTINGS = {
 }
 # a local session's own scratch folder, where spark.checkpoint.dir is not set
 FALLBACK = "spark.casemill.scratchDir"
+# with it a job's shuffle files go when it ends, else when the driver happens to collect its garbage
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _open_scopes: list[list[str]] = []
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
@@ -105,6 +107,18 @@ def temporary_cuts(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFr
         _delete(spark, made)
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each job run inside as soon as it ends; for writes whose frame isn't
+    used again, as that would shuffle anew."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+
+
 def forget(*cuts: DataFrame) -> None:
     """Delete cuts that nothing reads any more."""
     for df in cuts:

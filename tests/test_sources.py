@@ -204,3 +204,41 @@ def test_exports_have_as_many_files_as_their_size_asks_for(spark, tmp_path):
     rows = spark.read.parquet(f"{tmp_path}/rows")
     files = lambda df: len(list(Path(exports.write_csv(df, "x", parts=2).removeprefix("file:")).glob("part-*")))
     assert files(rows) > 2 and files(rows.limit(10)) <= 2
+
+
+def test_exports_leave_no_shuffle_files(spark, tmp_path):
+    import time
+
+    from casemill.registry import exports
+    from casemill.session import SHUFFLES_GO
+
+    kept = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    setting, before = spark.conf.get(SHUFFLES_GO), kept()
+    spark.range(10_000).selectExpr("CAST(id AS STRING) AS a").write.parquet(f"{tmp_path}/rows")
+    exports.write_csv(spark.read.parquet(f"{tmp_path}/rows"), "x", parts=2)
+    until = time.time() + 10
+    while kept() - before and time.time() < until:  # the executors are told, not waited for
+        time.sleep(0.1)
+    assert kept() <= before and spark.conf.get(SHUFFLES_GO) == setting
+
+
+def test_extended_exports_take_little_more_room_than_their_tables(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from casemill import session
+    from casemill.registry import all_queries
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"{tmp_path}/scratch")
+    some = lambda n, salt: f"pmod(xxhash64(id, {salt}), {n})"
+    spark.range(60_000).selectExpr(
+        "id DIV 4 AS l_orderkey", f"{some(20_000, 1)} AS l_partkey", f"{some(1_000, 2)} AS l_suppkey", "CAST(id % 4 + 1 AS INT) AS l_linenumber",
+        f"{some(50, 3)} * 1.0D AS l_quantity", f"{some(10_000_000, 4)} / 100D AS l_extendedprice", f"{some(11, 5)} / 100D AS l_discount", f"{some(9, 6)} / 100D AS l_tax",
+        "CASE id % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'N' WHEN 2 THEN 'R' END AS l_returnflag", "'F' AS l_linestatus", f"TIMESTAMP '1992-01-01' + make_dt_interval(CAST({some(2_500, 7)} AS INT)) AS l_shipdate",
+    ).repartition(1).write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    spark.range(15_000).selectExpr("id AS o_orderkey", "'F' AS o_orderstatus", f"{some(10_000_000, 8)} / 100D AS o_totalprice", "'1-URGENT' AS o_orderpriority").repartition(1).write.parquet(f"{tmp_path}/in/orders.parquet")
+    out = all_queries()["s2_extended_export"](spark, f"{tmp_path}/in")
+    counts = {r.kind: (r.n, r.two) for r in out.groupBy("kind").agg({"*": "count"}).toDF("kind", "n").join(out.where("cells LIKE '%\n%'").groupBy("kind").count().toDF("kind", "two"), "kind").collect()}
+    assert {k: n for k, (n, _) in counts.items()} == {"incidentes": 15_000, "requerimientos": 15_000, "cambios": 30_000, "problemas": 15_000}
+    assert all(two > 1_000 for _, two in counts.values()) and out.select("kind", "number").distinct().count() == 75_000
+    size = lambda at: sum(f.stat().st_size for f in Path(at).rglob("part-*"))
+    assert 0 < size(f"{tmp_path}/scratch") < 4 * size(f"{tmp_path}/in")
